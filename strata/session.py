@@ -49,4 +49,4 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     truth; callers use it on scans, filters and projections only.
     """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= limit
+    return int(str(size)) <= limit
