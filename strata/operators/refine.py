@@ -136,6 +136,18 @@ def latest_valid(landed: DataFrame, entity: Entity) -> DataFrame:
     return standardize(latest, entity, carry=[COPIES])
 
 
+def accepted(landed: DataFrame, entity: Entity, parents: DataFrame | None = None) -> DataFrame:
+    """The latest valid row per key with its ``_outcome``: ``valid``, or ``orphan`` where its reference is unknown."""
+    latest = latest_valid(landed, entity)
+    if entity.reference is None:
+        judged = latest.withColumn(OUTCOME, F.lit(VALID))
+    else:
+        judged = check_reference(latest, parents, entity.reference)
+        judged = judged.withColumn(OUTCOME, F.when(F.col(KNOWN), VALID).otherwise(ORPHAN)).drop(KNOWN)
+    failed_rules = F.when(F.col(OUTCOME) == ORPHAN, CUSTOMER_EXISTS)
+    return judged.withColumns({dq.FAILED_RULES: failed_rules, **entity.derived})
+
+
 def clean(landed: DataFrame, entity: Entity, parents: DataFrame | None = None) -> DataFrame:
     """The verdict on a landed table: one row per rule reject and one per key of the rest.
 
@@ -145,14 +157,7 @@ def clean(landed: DataFrame, entity: Entity, parents: DataFrame | None = None) -
     failed = dq.rejects(standardize(landed, entity), entity.rules).select(
         "*", F.lit(1).cast("long").alias(COPIES), F.lit(RULE_FAILED).alias(OUTCOME)
     )
-    latest = latest_valid(landed, entity)
-    if entity.reference is None:
-        judged = latest.withColumn(OUTCOME, F.lit(VALID))
-    else:
-        judged = check_reference(latest, parents, entity.reference)
-        judged = judged.withColumn(OUTCOME, F.when(F.col(KNOWN), VALID).otherwise(ORPHAN)).drop(KNOWN)
-    judged = judged.withColumn(dq.FAILED_RULES, F.when(F.col(OUTCOME) == ORPHAN, CUSTOMER_EXISTS))
-    return failed.unionByName(judged.withColumns(dict(entity.derived)), allowMissingColumns=True)
+    return failed.unionByName(accepted(landed, entity, parents), allowMissingColumns=True)
 
 
 def silver(judged: DataFrame, entity: Entity) -> DataFrame:

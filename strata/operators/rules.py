@@ -14,21 +14,19 @@ BROKEN = "_broken"
 FAILED_RULES = "_failed_rules"
 
 
-def holds(predicate: str) -> Column:
-    return F.coalesce(F.expr(predicate), F.lit(False))
+def _holds(predicate: str) -> str:
+    return f"coalesce({predicate}, false)"
 
 
 def all_hold(rules: Mapping[str, str]) -> Column:
     """The conjunction of a rule set. As a filter each part can move to the scan on its own."""
-    verdict = F.lit(True)
-    for predicate in rules.values():
-        verdict = verdict & holds(predicate)
-    return verdict
+    return F.expr(" and ".join(_holds(p) for p in rules.values()) or "true")
 
 
 def broken(rules: Mapping[str, str]) -> Column:
     """The names of the rules a row breaks, in rule order, as an array."""
-    return F.array_compact(F.array(*(F.when(~holds(p), F.lit(name)) for name, p in rules.items())))
+    names = ", ".join(f"case when not {_holds(p)} then '{name}' end" for name, p in rules.items())
+    return F.expr(f"array_compact(array({names}))")
 
 
 def tag(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

@@ -50,19 +50,22 @@ def outcome_metrics() -> dict[str, Column]:
     }
 
 
-def reconcile(judged: DataFrame) -> DataFrame:
-    """One row: landed = out + quarantined + superseded, from the verdicts alone."""
+def reconcile(judged: DataFrame, key: str) -> DataFrame:
+    """One row: landed = out + quarantined + superseded, and as many distinct keys as rows out."""
     totals = judged.agg(
-        F.sum(COPIES).alias("rows_in"), *(m.alias(k) for k, m in outcome_metrics().items())
+        F.sum(COPIES).alias("rows_in"),
+        *(m.alias(k) for k, m in outcome_metrics().items()),
+        F.count_distinct(F.when(F.col(OUTCOME) == VALID, F.col(key))).alias("distinct_keys"),
     )
+    quarantined = F.col("rule_failed") + F.col("orphans")
+    adds_up = F.col("rows_in") == F.col("rows_out") + quarantined + F.col("superseded")
     return totals.select(
         "rows_in",
         "rows_out",
-        (F.col("rule_failed") + F.col("orphans")).alias("rows_quarantined"),
+        quarantined.alias("rows_quarantined"),
         "superseded",
-        (F.col("rows_in") == F.col("rows_out") + F.col("rule_failed") + F.col("orphans") + F.col("superseded")).alias(
-            "balanced"
-        ),
+        "distinct_keys",
+        (adds_up & (F.col("distinct_keys") == F.col("rows_out"))).alias("balanced"),
     )
 
 

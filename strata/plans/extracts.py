@@ -6,6 +6,8 @@ breaking a rule, some pointing to customers that are themselves rejected. Every
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,25 +106,47 @@ def tickets() -> Entity:
     return entities.tickets()
 
 
-def judged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.clean(customer_extract(spark, sf_dir), customers())
-
+class Warehouse:
+    """The refined tables of one folder, each planned once however many queries use it."""
 
-def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.silver(judged_customers(spark, sf_dir), customers())
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
+    def table(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
 
-def judged_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.clean(invoice_extract(spark, sf_dir), invoices(), silver_customers(spark, sf_dir))
+    @cached_property
+    def customer_extract(self) -> DataFrame:
+        return customer_extract(self.spark, self.sf_dir)
 
+    @cached_property
+    def invoice_extract(self) -> DataFrame:
+        return invoice_extract(self.spark, self.sf_dir)
 
-def silver_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.silver(judged_invoices(spark, sf_dir), invoices())
+    @cached_property
+    def ticket_extract(self) -> DataFrame:
+        return ticket_extract(self.spark, self.sf_dir)
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        entity = customers()
+        return refine.silver(refine.accepted(self.customer_extract, entity), entity)
 
-def judged_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.clean(ticket_extract(spark, sf_dir), tickets(), silver_customers(spark, sf_dir))
+    @cached_property
+    def invoices(self) -> DataFrame:
+        entity = invoices()
+        return refine.silver(refine.accepted(self.invoice_extract, entity, self.customers), entity)
 
+    @cached_property
+    def tickets(self) -> DataFrame:
+        entity = tickets()
+        return refine.silver(refine.accepted(self.ticket_extract, entity, self.customers), entity)
 
-def silver_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refine.silver(judged_tickets(spark, sf_dir), tickets())
+    def judged(self) -> list[tuple[Entity, DataFrame]]:
+        """Every record kind with the verdicts on all its rows."""
+        return [
+            (customers(), refine.clean(self.customer_extract, customers())),
+            (invoices(), refine.clean(self.invoice_extract, invoices(), self.customers)),
+            (tickets(), refine.clean(self.ticket_extract, tickets(), self.customers)),
+        ]

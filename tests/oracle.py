@@ -1,0 +1,74 @@
+"""Compare registered queries with their SQL counterparts on DuckDB.
+
+Run as a script: ``python tests/oracle.py /root/testdata/sf0.01 [name ...]``.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else f"{value:.9g}"
+    if isinstance(value, (list, tuple)):
+        return [_plain(v) for v in value]
+    return str(value)
+
+
+def rows_by_name(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), sorted([str([_plain(r[i]) for i in order]) for r in rows])
+
+
+def compare(spark, con, name, sf_dir, queries, oracle):
+    """A short verdict; raises AssertionError on any difference."""
+    started = time.time()
+    df = queries[name](spark, sf_dir)
+    got = df.collect()
+    spent = time.time() - started
+    cursor = con.execute(oracle[name])
+    wanted_columns, wanted = rows_by_name([d[0] for d in cursor.description], cursor.fetchall())
+    columns, found = rows_by_name(df.columns, got)
+    assert columns == wanted_columns, f"{name}: columns {columns} instead of {wanted_columns}"
+    assert len(found) == len(wanted), f"{name}: {len(found)} rows instead of {len(wanted)}"
+    different = [(f, w) for f, w in zip(found, wanted) if f != w]
+    assert not different, f"{name}: {len(different)} of {len(found)} rows differ, first {different[0]}"
+    return f"{name}: {len(found)} rows agree, {spent:.1f} s (SQL {time.time() - started - spent:.1f} s)"
+
+
+if __name__ == "__main__":
+    from conftest import make_session
+
+    import __spark_entry__ as entry
+
+    queries, oracle = entry.queries(), entry.oracle_sql()
+    folder, chosen = sys.argv[1], sys.argv[2:] or list(queries)
+    spark, con, failures = make_session(), connect(folder), 0
+    for name in chosen:
+        try:
+            if name in oracle:
+                print(compare(spark, con, name, folder, queries, oracle), flush=True)
+            else:
+                print(f"{name}: {len(queries[name](spark, folder).collect())} rows, no SQL", flush=True)
+        except Exception as error:
+            failures += 1
+            print("FAILED", str(error)[:1500], flush=True)
+    print(f"{len(chosen) - failures} of {len(chosen)} agree")
