@@ -341,8 +341,9 @@ _LATEST_LINES = """
       from lineitem) where n = 1"""
 
 
-def _over_layers(select: str) -> str:
-    return f"with {_LAYERS} {select}"
+def over_layers(select: str, more: str = "") -> str:
+    """A query over the refined tables and marts as CTEs, with ``more`` CTEs after them."""
+    return f"with {_LAYERS}{', ' if more else ''}{more} {select}"
 
 
 QUERIES = {
@@ -413,15 +414,15 @@ ORACLE = {
         select o_orderkey, o_custkey as c_custkey, 'customer_exists' as failed_rules from orders
         where o_custkey not in (select c_custkey from customer where c_acctbal > 0)""",
     "refine_customers": _VALID_CUSTOMERS,
-    "refine_invoices": _over_layers("""
+    "refine_invoices": over_layers("""
         select invoice_id, customer_id, amount::double as amount, currency, status, issued_at,
                amount_usd::double as amount_usd from i"""),
-    "refine_tickets": _over_layers("select * from t"),
+    "refine_tickets": over_layers("select * from t"),
     "convert_by_rates_table": """
         select c_custkey, c_acctbal as amount, n_name as currency,
                round(c_acctbal::decimal(18,4) * ((n_nationkey % 7 + 1) * 0.25)::decimal(9,4), 2)::double as amount_usd
         from customer left join (select * from nation where n_nationkey % 5 != 0) on c_nationkey = n_nationkey""",
-    "quarantine_all": _over_layers("""
+    "quarantine_all": over_layers("""
         select 'C' || lpad(c_custkey::varchar, 9, '0') as customer_id, null::varchar as invoice_id,
                null::varchar as ticket_id, 'email_has_at' as failed_rules
         from customer, (values (0), (1)) v(d) where not c_acctbal > 0
@@ -437,24 +438,24 @@ ORACLE = {
         select customer_id, null, ticket_id, 'customer_exists'
         from typed_t where status in ('open', 'pending', 'closed') and customer_id not in (select customer_id from c)"""),
     "reconcile_counts": f"{_COUNTS} select *, rows_out as distinct_keys, true as balanced from counts",
-    "mart_customer_360": _over_layers("select * from customer_360"),
-    "mart_monthly_revenue": _over_layers("select * from monthly_revenue"),
-    "mart_ticket_summary": _over_layers("select * from ticket_summary"),
-    "report_top_region": _over_layers("""
+    "mart_customer_360": over_layers("select * from customer_360"),
+    "mart_monthly_revenue": over_layers("select * from monthly_revenue"),
+    "mart_ticket_summary": over_layers("select * from ticket_summary"),
+    "report_top_region": over_layers("""
         select region, round(sum(revenue_usd), 2) as revenue_usd
         from monthly_revenue group by region order by revenue_usd desc, region limit 1"""),
-    "report_total_revenue": _over_layers("select round(sum(revenue_usd), 2) as total_revenue_usd from monthly_revenue"),
-    "report_open_by_priority": _over_layers("""
+    "report_total_revenue": over_layers("select round(sum(revenue_usd), 2) as total_revenue_usd from monthly_revenue"),
+    "report_open_by_priority": over_layers("""
         select sum(ticket_count)::bigint as open_tickets from ticket_summary where status = 'open' and priority = 'P1'"""),
-    "report_open_total": _over_layers(
+    "report_open_total": over_layers(
         "select sum(ticket_count)::bigint as open_tickets from ticket_summary where status = 'open'"),
-    "report_customers_in_segment": _over_layers(
+    "report_customers_in_segment": over_layers(
         "select count(*) as customers from customer_360 where segment = 'machinery'"),
-    "report_customers": _over_layers("select count(*) as customers from customer_360"),
-    "report_top_billed_customer": _over_layers("""
+    "report_customers": over_layers("select count(*) as customers from customer_360"),
+    "report_top_billed_customer": over_layers("""
         select customer_id, total_billed_usd from customer_360 order by total_billed_usd desc, customer_id limit 1"""),
-    "published_top_customers": _over_layers(f"{TOP_CUSTOMERS} limit 200"),
-    "published_region_join": _over_layers(f"select * from ({REGION_JOIN})"),
+    "published_top_customers": over_layers(f"{TOP_CUSTOMERS} limit 200"),
+    "published_region_join": over_layers(f"select * from ({REGION_JOIN})"),
     "batch_run_log": f"""{_COUNTS},
         gold as (
           select 'customer_360' as name, count(*) as n from customer_360
@@ -465,5 +466,5 @@ ORACLE = {
           union all select 'silver', entity, rows_in, rows_out, rows_quarantined from counts
           union all select 'gold', name, n, n, 0 from gold)
         select batch_id, log.* from log, (values ('first'), ('second')) v(batch_id)""",
-    "incremental_monthly_revenue": _over_layers("select * from monthly_revenue"),
+    "incremental_monthly_revenue": over_layers("select * from monthly_revenue"),
 }
