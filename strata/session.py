@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +24,22 @@ def require_utc(spark: SparkSession) -> None:
         raise SessionNotFit(f"spark.sql.session.timeZone is {zone}; set it to UTC before running")
 
 
-def require_skew_handling(spark: SparkSession) -> None:
+def warn_without_skew_handling(spark: SparkSession) -> None:
     """Row-level shuffled joins count on adaptive execution to split a hot key over several tasks."""
     for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
         if spark.conf.get(name).lower() != "true":
-            raise SessionNotFit(f"{name} is off; hot join keys would run in one task")
+            warnings.warn(f"{name} is off; a hot join key will run in one task", stacklevel=2)
+
+
+@contextmanager
+def overriding(spark: SparkSession, name: str, value: str):
+    """Run a block with one session setting changed."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from strata.operators import runlog
 from strata.operators.refine import Entity
 from strata.plans.batch import SOURCES, _count, default_entities, refine_and_model
-from strata.session import require_skew_handling, require_utc
+from strata.session import require_utc, warn_without_skew_handling
 from strata.sources import land
 from strata.sources.tables import Store
 
@@ -34,7 +34,7 @@ def run_incremental(
     batch overwrite of bronze would contradict what the checkpoints remember.
     """
     require_utc(store.spark)
-    require_skew_handling(store.spark)
+    warn_without_skew_handling(store.spark)
     batch_id = batch_id or uuid.uuid4().hex
     declared = declared or default_entities()
     log, rows_in = [], {}

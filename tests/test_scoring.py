@@ -188,3 +188,11 @@ def test_composed_texts(spark):
         "e": "no title [source: d]",
         "f": "I do not have enough information to answer.",
     }
+
+
+def test_golden_files_may_hold_blank_lines(spark, tmp_path):
+    with open(f"{tmp_path}/golden.jsonl", "w") as out:
+        out.write('{"id": "a", "type": "sql", "question": "Q?", "expected_values": ["1"]}\n\n  \n')
+        out.write('{"id": "b", "type": "abstain", "question": "R?", "expected_values": []}\n')
+    rows = {r.id: r for r in documents.read_golden(spark, f"{tmp_path}/golden.jsonl").collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].expected_doc is None and rows["b"].expected_values == []
