@@ -35,7 +35,7 @@ def run(spark, tmp_path_factory):
     documents.write_golden(asked, f"{folder}/golden")
     asked = documents.read_golden(spark, f"{folder}/golden").cache()
     texts = documents.read_documents(spark, dirty.write_policies(f"{folder}/docs"))
-    index = retrieval.tfidf_index(retrieval.chunk(texts)).write(store, "policies")
+    index = retrieval.tfidf_index(retrieval.chunk(texts), store=store, name="policies")
     routed = questions.route(asked.select("id", "question")).cache()
     wanted = routed.where("wants_documents").select(F.col("id").alias("query_id"), F.col("question").alias("text"))
     results = report_results(PublishedTables.of_store(store))
