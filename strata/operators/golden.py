@@ -38,12 +38,17 @@ latest_invoice as (
     and upper(trim(currency)) in ('USD', 'EUR', 'GBP') and lower(trim(status)) in ('paid', 'open', 'void')
     and try_cast(issued_at as timestamp) is not null
   group by trim(invoice_id)),
-i as (
-  select c.id, c.region, lower(trim(row.status)) as status,
+priced as (
+  select 'C' || repeat('0', :digits - length(trim(row.customer_ref))) || trim(row.customer_ref) as id,
+         lower(trim(row.status)) as status,
          round(cast(row.amount as decimal(18,4))
                * case upper(trim(row.currency)) when 'EUR' then 1.08 when 'GBP' then 1.27 else 1.00 end, 2) as usd
-  from latest_invoice join c
-    on c.id = 'C' || repeat('0', :digits - length(trim(row.customer_ref))) || trim(row.customer_ref)),
+  from latest_invoice),
+by_reference as (
+  select id, sum(case when status = 'paid' then usd else 0 end) as paid,
+         sum(case when status != 'void' then usd else 0 end) as billed
+  from priced group by id),
+per_customer as (select id, region, paid, billed from by_reference join c using (id)),
 latest_ticket as (
   select trim(ticket_id) as ticket, max_by(struct(*), try_cast(opened_at as timestamp)) as row
   from {tickets}
@@ -54,10 +59,6 @@ open_by_customer as (
   select upper(trim(row.customer_id)) as id, count(*) as n, count_if(upper(trim(row.priority)) = 'P1') as p1
   from latest_ticket where lower(trim(row.status)) = 'open' group by 1),
 t as (select coalesce(sum(n), 0) as n, coalesce(sum(p1), 0) as p1 from open_by_customer left semi join c using (id)),
-per_customer as (
-  select id, max(region) as region, sum(case when status = 'paid' then usd else 0 end) as paid,
-         sum(case when status != 'void' then usd else 0 end) as billed
-  from i group by id),
 region_sums as (select region, sum(paid) as paid from per_customer group by region)
 select 'top_region' as fact, array(max_by(region, paid), cast(cast(max(paid) as decimal(38,2)) as string)) as expected
 from region_sums

@@ -86,11 +86,11 @@ def run_batch(
         rows = land.read_strings(store.spark, extracts[source], declared[name].source_columns, fmt, batch_id)
         landed = runlog.observed_write(store, rows, "bronze", name, mode="append" if keep_history else "overwrite")
         log.append(runlog.entry(batch_id, "bronze", name, landed["rows"], landed["rows"]))
-        rows_in[name] = landed["rows"] if not keep_history else _count(store, name)
+        rows_in[name] = landed["rows"] if not keep_history else count_landed(store, name)
     log += refine_and_model(store, declared, batch_id, rows_in)
     runlog.append(store, log)
     return log
 
 
-def _count(store: Store, name: str) -> int:
+def count_landed(store: Store, name: str) -> int:
     return store.read("bronze", name).agg(F.count(F.lit(1))).first()[0]

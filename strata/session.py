@@ -8,9 +8,11 @@ import warnings
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Upper bound, in bytes, of a table side that may be broadcast.
+#: Upper bounds of a table side that may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 1_000_000
 
 
 class SessionNotFit(RuntimeError):
@@ -55,11 +57,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/strata-{purpose}-{uuid.uuid4().hex}"
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """True when the optimizer's size estimate for ``df`` is within ``limit``.
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, rows: int = BROADCAST_ROWS) -> bool:
+    """True when ``df`` is measured to hold at most ``limit`` bytes in ``rows`` rows.
 
-    The estimate of a scan is its file size and no operator but a join or an explode lets it shrink below the
-    truth; callers use it on scans, filters and projections only.
+    The optimizer's estimate comes first and alone settles large tables. It goes by compressed file sizes, so what
+    looks small is then counted.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > limit:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).first()
+    return found.rows <= rows and (found.bytes or 0) <= limit

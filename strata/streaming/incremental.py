@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from strata.operators import runlog
 from strata.operators.refine import Entity
-from strata.plans.batch import SOURCES, _count, default_entities, refine_and_model
+from strata.plans.batch import SOURCES, count_landed, default_entities, refine_and_model
 from strata.session import require_utc, warn_without_skew_handling
 from strata.sources import land
 from strata.sources.tables import Store
@@ -41,7 +41,7 @@ def run_incremental(
     for source, (fmt, name) in SOURCES.items():
         new = land_new_files(store, folders[source], declared[name], fmt, batch_id, checkpoints)
         log.append(runlog.entry(batch_id, "bronze", name, new, new))
-        rows_in[name] = _count(store, name)
+        rows_in[name] = count_landed(store, name)
     log += refine_and_model(store, declared, batch_id, rows_in)
     runlog.append(store, log)
     return log

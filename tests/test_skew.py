@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import marts, refine
-from strata.session import overriding
+from strata.session import fits_broadcast, overriding
 
 
 @pytest.fixture()
@@ -76,3 +76,11 @@ def test_marts_aggregate_before_they_join(facts, small_partitions):
     plan, rows = final_plan(marts.ticket_summary(customers, invoices.withColumn("status", F.lit("open"))))
     assert plan.index("SortMergeJoin") < plan.rindex("partial_count")
     assert rows[0].ticket_count == invoices.where("cast(customer_id as int) < 300").count()
+
+
+def test_broadcast_is_refused_for_many_rows_in_few_bytes(spark, tmp_path):
+    spark.range(200_000).select(F.lit("same").alias("text")).coalesce(1).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert fits_broadcast(table, 64 * 1024 * 1024)
+    assert not fits_broadcast(table, 64 * 1024 * 1024, rows=1000)
+    assert not fits_broadcast(table, 1024 * 1024)
