@@ -15,6 +15,7 @@ from strata.session import fits_broadcast, overriding
 def small_partitions(spark):
     """Settings under which a few hundred kilobytes count as skewed, and nothing is broadcast."""
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
