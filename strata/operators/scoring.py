@@ -45,23 +45,35 @@ def value_present(answer: Column, expected: Column) -> Column:
     return F.when(plain_number, near).otherwise(tx.collapse(answer).contains(tx.collapse(expected)))
 
 
-def evidence_numbers(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """(id, number) of every number in the results of steps without error.
+def parse_steps(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """What scoring needs of the steps: (id, step_no, tool, failed, numbers, documents).
 
-    By default every leaf of a result counts, also the echoed statement, the row count and the scores. ``fields``
-    narrows it to JSON paths such as ``$.rows`` and ``$.results[*].text``.
+    ``numbers`` are the numbers in the result of a step without error. By default every leaf counts, also the echoed
+    statement, the row count and the scores; ``fields`` narrows it to JSON paths such as ``$.rows`` and
+    ``$.results[*].text``. ``documents`` are the ids of the search results in order. Steps that are parsed already
+    are returned as they are, so a parsed table can be stored and scored from.
     """
+    if "failed" in steps.columns:
+        return steps
     result = F.col("result_json")
-    source = tx.json_numbers(result) if fields is None else F.flatten(
-        F.array(*(F.coalesce(tx.json_numbers(F.concat(F.lit("["), F.get_json_object(result, f), F.lit("]"))),
-                             F.array().cast("array<double>")) for f in fields)))
-    return steps.where(~has_error(result)).select("id", F.explode(source).alias("number"))
+    found = tx.json_numbers(result) if fields is None else F.flatten(F.array(*(
+        F.coalesce(tx.json_numbers(F.concat(F.lit("["), F.get_json_object(result, f), F.lit("]"))),
+                   F.array().cast("array<double>")) for f in fields)))
+    failed = has_error(result)
+    return steps.select(
+        "id", "step_no", "tool", failed.alias("failed"), F.when(~failed, found).alias("numbers"),
+        F.from_json(result, RESULT_SCHEMA).results.doc_id.alias("documents"),
+    )
+
+
+def evidence_numbers(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """(id, number) of every number in the results of steps without error."""
+    return parse_steps(steps, fields).where("not failed").select("id", F.explode("numbers").alias("number"))
 
 
 def evidence_documents(steps: DataFrame) -> DataFrame:
     """Distinct (id, doc_id) over the search results of steps without error."""
-    listed = F.from_json("result_json", RESULT_SCHEMA).results
-    rows = steps.where(~has_error(F.col("result_json"))).select("id", F.explode(listed.doc_id).alias("doc_id"))
+    rows = parse_steps(steps).where("not failed").select("id", F.explode("documents").alias("doc_id"))
     return rows.where("doc_id is not null").distinct()
 
 
@@ -125,9 +137,8 @@ def grounding(answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None
 
 def retrieved(steps: DataFrame) -> DataFrame:
     """(id, step_no, rank, doc_id) of every document the search steps returned, in the order they came."""
-    listed = F.from_json("result_json", RESULT_SCHEMA).results
-    searches = steps.where(F.col("tool") == SEARCH_DOCUMENTS)
-    return searches.select("id", "step_no", F.posexplode(listed.doc_id).alias("rank", "doc_id"))
+    searches = parse_steps(steps).where(F.col("tool") == SEARCH_DOCUMENTS)
+    return searches.select("id", "step_no", F.posexplode("documents").alias("rank", "doc_id"))
 
 
 def retrieval(golden: DataFrame, steps: DataFrame) -> DataFrame:
@@ -148,12 +159,11 @@ def score_items(
 ) -> DataFrame:
     """One scored row per golden item that was answered."""
     posed = golden.join(answers.select("id", "answer", "hit_step_limit"), "id")
-    counts = steps.groupBy("id").agg(
-        F.count(F.lit(1)).alias("steps"), F.count_if(has_error(F.col("result_json"))).alias("tool_errors")
-    )
+    steps = parse_steps(steps, fields)
+    counts = steps.groupBy("id").agg(F.count(F.lit(1)).alias("steps"), F.count_if("failed").alias("tool_errors"))
     joined = (
         posed.join(counts, "id", "left")
-        .join(grounding(posed, steps, fields), "id")
+        .join(grounding(posed, steps), "id")
         .join(retrieval(golden, steps), "id", "left")
     )
     abstained = is_abstention(F.col("answer")) & (F.size("ungrounded_numbers") == 0)
@@ -209,12 +219,21 @@ def evaluate(
     params: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Score a run, append the scored rows to ``ops.eval_rows`` and the summary, with the run's name and parameters,
-    to ``ops.eval_runs``; returns the summary row."""
+    to ``ops.eval_runs``; returns the summary row.
+
+    The steps are parsed once, into a stage table many times smaller than their JSON, and scored from there.
+    """
     run_id = uuid.uuid4().hex
-    store.write(score_items(golden, answers, steps).withColumn("run_id", F.lit(run_id)), "ops", "eval_rows", "append")
-    written = store.read("ops", "eval_rows").where(F.col("run_id") == run_id)
+
+    def kept(df: DataFrame, layer: str, name: str) -> DataFrame:
+        mine = df.withColumn("run_id", F.lit(run_id))
+        store.write(mine, layer, name, "append", partition_by=["run_id"])
+        return store.read(layer, name, mine.schema).where(F.col("run_id") == run_id)
+
+    parsed = kept(parse_steps(steps), "stage", "eval_steps").drop("run_id")
+    items = kept(score_items(golden, answers, parsed), "ops", "eval_rows")
     named = [x for k, v in (params or {}).items() for x in (F.lit(k), F.lit(str(v)))]
-    summary = summarize(written).select(
+    summary = summarize(items).select(
         F.lit(run_id).alias("run_id"),
         F.lit(run_name).alias("run_name"),
         F.lit(datetime.now(timezone.utc)).alias("ts"),
