@@ -19,7 +19,7 @@ def _holds(predicate: str) -> str:
 
 
 def all_hold(rules: Mapping[str, str]) -> Column:
-    """The conjunction of a rule set. As a filter each part can move to the scan on its own."""
+    """The conjunction of a rule set: true or false for every row, never NULL."""
     return F.expr(" and ".join(_holds(p) for p in rules.values()) or "true")
 
 
@@ -35,8 +35,11 @@ def tag(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 
 def keep_valid(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Only the rows that break no rule; the others are dropped."""
-    return df.where(all_hold(rules))
+    """Only the rows that break no rule; the others are dropped.
+
+    A filter drops NULL by itself, so the bare predicates are used: those on plain columns then reach the file scan.
+    """
+    return df.where(" and ".join(f"({p})" for p in rules.values()) or "true")
 
 
 def rejects(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

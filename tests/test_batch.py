@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import dirty
-from strata.operators import refine
+from strata.operators import refine, rules
 from strata.plans import batch, entities
 from strata.session import SessionNotFit, require_utc, scratch_dir
 from strata.settings import Settings
@@ -184,3 +184,21 @@ def test_both_deduplications_agree_with_brute_force(spark):
     assert sorted(map(tuple, ranked.collect())) == expected
     assert sorted(tuple(r)[:4] for r in counted.collect()) == expected
     assert counted.agg(F.sum("_copies")).first()[0] == 300
+
+
+def test_a_null_predicate_is_a_broken_rule(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -1), (None, 7)], "id int, n int")
+    checks = {"id_known": "id is not null", "positive": "n > 0 or n > 5", "small": "n < 7"}
+    good, bad = rules.split(df, checks)
+    assert values(good, "id") == [(1,)]
+    assert {r.id: r._failed_rules for r in bad.collect()} == {2: "positive,small", 3: "positive", None: "id_known,small"}
+    assert {r.id: r._broken for r in rules.tag(df, checks).collect()} == {
+        1: [], 2: ["positive", "small"], 3: ["positive"], None: ["id_known", "small"]}
+    assert rules.keep_valid(df, {}).count() == 4
+
+
+def test_rules_on_plain_columns_reach_the_scan(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    kept = rules.keep_valid(spark.read.parquet(f"{tmp_path}/t"), {"big": "id > 5", "even": "id % 2 = 0"})
+    assert "GreaterThan(id,5)" in kept._jdf.queryExecution().executedPlan().toString()
+    assert values(kept, "id") == [(6,), (8,)]
