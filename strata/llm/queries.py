@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, quality, toxicity
+from strata.llm import bpe, decontam, quality, toxicity
 from strata.llm.common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -18,6 +21,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +32,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_decontamination": op3_decontamination,
+    "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
 }
 ORACLE: dict[str, str] = {
