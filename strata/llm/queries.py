@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, quality, simhash, toxicity
+from strata.llm import bpe, decontam, quality, secrets, simhash, toxicity
 from strata.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,12 +33,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_decontamination": op3_decontamination,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {
     "op3_decontamination": decontam.oracle(),
