@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, quality, secrets, simhash, toxicity, warc
+from strata.llm import bpe, decontam, quality, secrets, simhash, toxicity, url_filter, warc
 from strata.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,10 +51,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_url_filter": op7_url_filter,
     "op8_simhash": op8_simhash,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {
     "op2_warc": warc.ORACLE,
     "op3_decontamination": decontam.oracle(),
+    "op7_url_filter": url_filter.oracle(),
 }
