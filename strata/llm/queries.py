@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, quality, secrets, simhash, toxicity, url_filter, warc
+from strata.llm import bpe, decontam, quality, secrets, simhash, topk, toxicity, url_filter, warc
 from strata.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.searched(table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.judged(table(spark, sf_dir, "documents"))
 
@@ -53,10 +57,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_simhash": op8_simhash,
+    "op9_topk": op9_topk,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {
     "op2_warc": warc.ORACLE,
     "op3_decontamination": decontam.oracle(),
     "op7_url_filter": url_filter.oracle(),
+    "op9_topk": topk.ORACLE,
 }
