@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, quality, secrets, simhash, topk, toxicity, url_filter, warc
+from strata.llm import bpe, decontam, quality, secrets, simhash, token_counts, topk, toxicity, url_filter, warc
 from strata.llm.common import table
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -25,6 +26,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,

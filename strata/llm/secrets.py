@@ -45,7 +45,7 @@ _BLOCK = 256
 _HIT = "struct<start:int,stop:int,hit:string>"
 
 
-def _matches(text: Column, pattern: str, group: int = 0) -> Column:
+def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """array<struct<start, stop, hit>> of all matches; ``hit`` is the text of ``group``."""
     gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -81,7 +81,7 @@ def _upper_tail(z: Column) -> Column:
 
 def _strings(text: Column) -> Column:
     """Strings that hold a digit and a letter, with encoding and length: array of structs."""
-    found = F.filter(_matches(text, STRING), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]"))
+    found = F.filter(matches(text, STRING), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]"))
 
     def described(m):
         body = F.translate(F.rtrim(m["hit"], F.lit("=")), "-_", "+/")
@@ -184,9 +184,9 @@ def scan(docs: DataFrame, accepted: dict[tuple[str, int], int], text: str = "tex
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     some = whole.rlike(STRING)
-    assign = F.when(whole.rlike(ASSIGN), F.filter(_matches(whole, ASSIGN, 2), lambda m: F.length(m["hit"]) >= 6)).otherwise(_none())
-    access = F.when(some, F.filter(_matches(whole, ACCESS), lambda m: m["stop"] - m["start"] >= 20)).otherwise(_none())
-    hexes = F.when(some, _matches(whole, HEX)).otherwise(_none())
+    assign = F.when(whole.rlike(ASSIGN), F.filter(matches(whole, ASSIGN, 2), lambda m: F.length(m["hit"]) >= 6)).otherwise(_none())
+    access = F.when(some, F.filter(matches(whole, ACCESS), lambda m: m["stop"] - m["start"] >= 20)).otherwise(_none())
+    hexes = F.when(some, matches(whole, HEX)).otherwise(_none())
 
     def of(kind):
         return lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["stop"].alias("stop"))
