@@ -65,11 +65,11 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): fp as the signed 64-bit form of the fingerprint."""
+    """(doc_id, text_hash, fp): fp as the signed 64-bit form of the fingerprint; the hash tells rows of an id apart."""
     def make():
         return lambda texts: [pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))]
 
-    return docs.select(F.col(doc_id).alias("doc_id"), per_text("fp long", make)(F.col(text))["fp"].alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), per_text("fp long", make)(F.col(text))["fp"].alias("fp"))
 
 
 @dataclass(frozen=True)
@@ -218,16 +218,38 @@ def links(distinct: DataFrame, masks: list[int], distance: int = DISTANCE, bucke
     return small.unionByName(large)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id for every row."""
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """doc_id, text_hash, fp, component_id and root (a value shared by the rows of a group alone) for every row."""
     prints = written(fingerprints(docs, doc_id, text), "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     n, both = joint_counts(distinct)
     roots = components(links(distinct, plan(n, both, distance).masks(), distance))
+    own = F.struct(F.col("fp").alias("v"), F.lit(0).alias("r"))
     nodes = roots.where("node.r = 0").select(F.col("node.v").alias("fp"), "root")
     known = distinct.join(nodes, "fp", "left")
     ids = known.where("root is not null").groupBy("root").agg(F.min("least").alias("smallest"))
-    labels = written(known.join(ids, "root", "left").select("fp", F.coalesce("smallest", "least").alias("component_id")), "labels")
+    component = F.coalesce("smallest", "least").alias("component_id")
+    labels = written(known.join(ids, "root", "left").select("fp", F.coalesce("root", own).alias("root"), component), "labels")
     # Copies may take any share of the rows: both sides come straight from their shuffles, so the join can be split.
-    found = prints.join(labels, "fp")
+    return prints.join(labels, "fp")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id for every row."""
+    found = grouped(docs, doc_id, text, distance)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each group: that with the smallest doc_id (a null id is the largest), then text hash.
+
+    Of rows that agree in both, the first by all columns stays.
+    """
+    rows = grouped(docs, doc_id, text, distance).groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n"))
+    leaders = written(rows.groupBy("root").agg(first.alias("l")).select(F.col("l.doc_id").alias("_id"), F.col("l.text_hash").alias("_hash"), F.col("l.n").alias("_n")), "leaders")
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
+    once = docs.join(leaders.where("_n = 1"), same, "left_semi")
+    repeated = docs.join(leaders.where("_n > 1"), same, "left_semi")
+    least = repeated.groupBy(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash")).agg(F.min(F.struct(*[f"`{c}`" for c in docs.columns])).alias("row"))
+    return once.unionByName(least.select("row.*"))
