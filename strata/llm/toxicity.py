@@ -197,13 +197,15 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray, default: float) -> float:
     ends = np.append(s[1:] != s[:-1], True)
     f1 = np.where(ends, 2 * hits / (np.arange(1, len(s) + 1) + labels.sum()), -1)
     best = int(f1.argmax())
-    return float((s[best] + (s[best + 1] if best + 1 < len(s) else 0.0)) / 2)
+    return float((s[best] + s[best + 1]) / 2 if best + 1 < len(s) else s[best] - 1e-6)
 
 
 def _calibration(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve that follows the labels and meets ``THRESHOLD`` at the best cut."""
     if len(labels) < 2 or labels.min() == labels.max():
         return 1.0, 0.0
+    if np.ptp(raw) < 1e-9:  # nothing tells the classes apart: the score is their share
+        return 1.0, float(np.log(labels.mean() / (1 - labels.mean())) - raw[0])
     cut = _best_cut(raw, labels, 0.0)
     spread = max(float(np.std(raw)), 1e-6)
     slopes = np.geomspace(0.3, 10, 40) / spread
