@@ -36,102 +36,120 @@ def is_abstention(answer: Column) -> Column:
     return found
 
 
-def value_present(answer: Column, expected: Column) -> Column:
-    """Whether an answer holds an expected value: a plain number within the tolerance of any number in the answer,
-    anything else as text, ignoring case and the amount of space."""
+def value_present(numbers: Column, plain: Column, expected: Column) -> Column:
+    """Whether an answer, given as its numbers and its collapsed text, holds an expected value: a plain number within
+    the tolerance of any number in the answer, anything else as text, ignoring case and the amount of space."""
     wanted = F.get(tx.numbers(expected), F.lit(0))
     plain_number = wanted.isNotNull() & F.translate(expected, ",.", "").rlike("^[0-9]+$")
-    near = F.exists(tx.numbers(answer), lambda n: F.abs(n - wanted) < TOLERANCE)
-    return F.when(plain_number, near).otherwise(tx.collapse(answer).contains(tx.collapse(expected)))
+    near = F.exists(numbers, lambda n: F.abs(n - wanted) < TOLERANCE)
+    return F.when(plain_number, near).otherwise(plain.contains(tx.collapse(expected)))
 
 
-def parse_steps(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """What scoring needs of the steps: (id, step_no, tool, failed, numbers, documents).
+def parsed_answer(question: Column, answer: Column) -> dict[str, Column]:
+    """What scoring needs of one answer: the numbers of its question (``asked``), its own numbers (``said``) and those
+    outside citations (``stated``), its citations (``cited``) and its collapsed text (``plain``). Of NULL, nothing."""
+    none = F.array().cast("array<double>")
+    return {
+        "asked": F.coalesce(tx.numbers(question), none),
+        "said": F.coalesce(tx.numbers(answer), none),
+        "stated": F.coalesce(tx.numbers(tx.without_citations(answer)), none),
+        "cited": F.coalesce(tx.citations(answer), F.array().cast("array<string>")),
+        "plain": tx.collapse(answer),
+    }
+
+
+def parse_answers(answers: DataFrame) -> DataFrame:
+    """``answers`` with the columns of ``parsed_answer``; answers that are parsed already are returned as they are."""
+    if "stated" in answers.columns:
+        return answers
+    return answers.select("*", *[c.alias(n) for n, c in parsed_answer(F.col("question"), F.col("answer")).items()])
+
+
+def parsed_step(result: Column, fields: Sequence[str] | None = None) -> Column:
+    """struct<failed, numbers, documents> of one step's result.
 
-    ``numbers`` are the numbers in the result of a step without error. By default every leaf counts, also the echoed
-    statement, the row count and the scores; ``fields`` narrows it to JSON paths such as ``$.rows`` and
-    ``$.results[*].text``. ``documents`` are the ids of the search results in order. Steps that are parsed already
-    are returned as they are, so a parsed table can be stored and scored from.
+    A step failed if its result has an ``error`` or is no readable JSON object; then it holds no numbers. By default
+    every leaf counts, also the echoed statement, the row count and the scores; ``fields`` narrows it to JSON paths
+    such as ``$.rows`` and ``$.results[*].text``. ``documents`` are the ids of the search results in order.
     """
-    if "failed" in steps.columns:
-        return steps
-    result = F.col("result_json")
-    found = tx.json_numbers(result) if fields is None else F.flatten(F.array(*(
+    every = tx.json_numbers(result)
+    found = every if fields is None else F.flatten(F.array(*(
         F.coalesce(tx.json_numbers(F.concat(F.lit("["), F.get_json_object(result, f), F.lit("]"))),
                    F.array().cast("array<double>")) for f in fields)))
-    failed = has_error(result)
-    return steps.select(
-        "id", "step_no", "tool", failed.alias("failed"), F.when(~failed, found).alias("numbers"),
+    failed = has_error(result) | F.json_object_keys(result).isNull() | every.isNull()
+    return F.struct(
+        failed.alias("failed"), F.when(~failed, found).alias("numbers"),
         F.from_json(result, RESULT_SCHEMA).results.doc_id.alias("documents"),
     )
 
 
+def parse_steps(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """(id, step_no, tool, failed, numbers, documents). Steps that are parsed already are returned as they are, so a
+    parsed table can be stored and scored from."""
+    if "failed" in steps.columns:
+        return steps
+    parsed = steps.select("id", "step_no", "tool", parsed_step(F.col("result_json"), fields).alias("parsed"))
+    return parsed.select("id", "step_no", "tool", "parsed.*")
+
+
 def evidence_numbers(steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """(id, number) of every number in the results of steps without error."""
     return parse_steps(steps, fields).where("not failed").select("id", F.explode("numbers").alias("number"))
 
 
-def evidence_documents(steps: DataFrame) -> DataFrame:
-    """Distinct (id, doc_id) over the search results of steps without error."""
-    rows = parse_steps(steps).where("not failed").select("id", F.explode("documents").alias("doc_id"))
-    return rows.where("doc_id is not null").distinct()
-
-
 def _bucket(number: Column) -> Column:
     # A double, as numbers can exceed every integer type. Two numbers within the tolerance are at most one bucket apart.
     return F.rint(number / F.lit(TOLERANCE))
 
 
-def ungrounded_numbers(answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """(id, ungrounded_numbers): the numbers an answer states, outside citations, that neither its steps nor its
-    question hold within the tolerance. Ids without such a number are absent.
+def _claim(number: Column | None = None, doc_id: Column | None = None) -> Column:
+    """A number or a document as one kind of row: its bucket and the number, or its id."""
+    none, nowhere = F.lit(None).cast("double"), F.lit("")
+    if doc_id is not None:
+        return F.struct(F.lit(0.0).alias("bucket"), doc_id.alias("doc_id"), none.alias("number"))
+    return F.struct(_bucket(number).alias("bucket"), nowhere.alias("doc_id"), number.alias("number"))
+
 
-    Of all evidence in one bucket only the least and the greatest number matter: within a bucket both are near
-    enough, and from a neighbouring bucket the nearer end decides.
+def grounding(answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """(id, ungrounded_numbers, ungrounded_citations, hallucinated) for every answer: the numbers it states, outside
+    citations, that neither its steps nor its question hold within the tolerance, and the documents it cites that no
+    step returned; both in order and with repeats.
+
+    Numbers and documents go through one join. Of all evidence in one bucket only the least and the greatest number
+    matter: within a bucket both are near enough, and from a neighbouring bucket the nearer end decides. So an id with
+    a large share of all steps is reduced before it is joined.
     """
-    asked = answers.select("id", F.explode(tx.numbers(F.col("question"))).alias("number"))
-    spans = (
-        evidence_numbers(steps, fields)
-        .unionByName(asked)
-        .groupBy("id", _bucket(F.col("number")).alias("bucket"))
-        .agg(F.min("number").alias("least"), F.max("number").alias("greatest"))
+    answers, steps = parse_answers(answers), parse_steps(steps, fields)
+    held = F.concat(
+        F.transform(F.coalesce("numbers", F.array().cast("array<double>")), lambda n: _claim(n)),
+        F.transform(F.filter(F.coalesce("documents", F.array().cast("array<string>")), lambda d: d.isNotNull()), lambda d: _claim(doc_id=d)),
     )
-    stated = answers.select("id", F.posexplode(tx.numbers(tx.without_citations(F.col("answer")))).alias("at", "number"))
-    at = _bucket(F.col("number"))
-    probes = stated.select("*", F.explode(F.array(at - 1, at, at + 1)).alias("bucket"))
-    near = (F.abs(F.col("number") - F.col("least")) < TOLERANCE) | (
-        F.abs(F.col("number") - F.col("greatest")) < TOLERANCE
-    )
-    judged = (
-        probes.join(spans, ["id", "bucket"], "left")
-        .groupBy("id", "at", "number")
-        .agg(F.max(F.coalesce(near, F.lit(False))).alias("grounded"))
+    evidence = (
+        steps.where("not failed").select("id", F.inline(held))
+        .unionByName(answers.select("id", F.inline(F.transform("asked", lambda n: _claim(n)))))
+        .groupBy("id", "bucket", "doc_id").agg(F.min("number").alias("least"), F.max("number").alias("greatest"))
     )
-    bad = judged.where("not grounded").groupBy("id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "number")))
-    return bad.agg(F.transform(ordered, lambda n: n.number).alias("ungrounded_numbers"))
 
+    def probe(claim: Column, at: Column, shift: int = 0) -> Column:
+        return F.struct((claim.bucket + shift).alias("bucket"), claim.doc_id.alias("doc_id"), claim.number.alias("number"), at.alias("at"))
 
-def ungrounded_citations(answers: DataFrame, steps: DataFrame) -> DataFrame:
-    """(id, ungrounded_citations): cited documents no step returned, in order and with repeats."""
-    cited = answers.select("id", F.posexplode(tx.citations(F.col("answer"))).alias("at", "doc_id"))
-    bad = cited.join(evidence_documents(steps), ["id", "doc_id"], "left_anti").groupBy("id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "doc_id")))
-    return bad.agg(F.transform(ordered, lambda c: c.doc_id).alias("ungrounded_citations"))
-
-
-def grounding(answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """(id, ungrounded_numbers, ungrounded_citations, hallucinated) for every answer."""
-    joined = (
-        answers.select("id")
-        .join(ungrounded_numbers(answers, steps, fields), "id", "left")
-        .join(ungrounded_citations(answers, steps), "id", "left")
+    numbers = F.flatten(F.transform("stated", lambda n, i: F.array(*(probe(_claim(n), i, shift) for shift in (-1, 0, 1)))))
+    citations = F.transform("cited", lambda d, i: probe(_claim(doc_id=d), i))
+    near = (F.abs(F.col("number") - F.col("least")) < TOLERANCE) | (F.abs(F.col("number") - F.col("greatest")) < TOLERANCE)
+    found = F.when(F.col("number").isNull(), F.col("e.id").isNotNull()).otherwise(F.coalesce(near, F.lit(False)))
+    claims = answers.select("id", F.inline(F.concat(numbers, citations)))
+    judged = (
+        claims.join(evidence.alias("e"), ["id", "bucket", "doc_id"], "left")
+        .groupBy("id", "number", "doc_id", "at").agg(F.max(found).alias("grounded"))
     )
-    return joined.select(
+    claim = F.when(~F.col("grounded"), F.struct("at", "number", "doc_id"))
+    bad = judged.groupBy("id").agg(F.array_sort(F.collect_list(claim)).alias("bad"))
+    every = answers.select("id").join(bad, "id", "left").withColumn("bad", F.coalesce("bad", F.array().cast("array<struct<at:int,number:double,doc_id:string>>")))
+    return every.select(
         "id",
-        F.coalesce("ungrounded_numbers", F.array().cast("array<double>")).alias("ungrounded_numbers"),
-        F.coalesce("ungrounded_citations", F.array().cast("array<string>")).alias("ungrounded_citations"),
-        (F.col("ungrounded_numbers").isNotNull() | F.col("ungrounded_citations").isNotNull()).alias("hallucinated"),
+        F.transform(F.filter("bad", lambda c: c.number.isNotNull()), lambda c: c.number).alias("ungrounded_numbers"),
+        F.transform(F.filter("bad", lambda c: c.number.isNull()), lambda c: c.doc_id).alias("ungrounded_citations"),
+        (F.size("bad") > 0).alias("hallucinated"),
     )
 
 
@@ -154,20 +172,23 @@ def retrieval(golden: DataFrame, steps: DataFrame) -> DataFrame:
     )
 
 
-def score_items(
-    golden: DataFrame, answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None = None
-) -> DataFrame:
-    """One scored row per golden item that was answered."""
-    posed = golden.join(answers.select("id", "answer", "hit_step_limit"), "id")
-    steps = parse_steps(steps, fields)
+def pose(golden: DataFrame, answers: DataFrame) -> DataFrame:
+    """Every golden item with its answer, parsed; an unanswered item has a NULL answer."""
+    return parse_answers(golden.join(answers.select("id", "answer", "hit_step_limit"), "id", "left"))
+
+
+def score_posed(posed: DataFrame, steps: DataFrame) -> DataFrame:
+    """One scored row per posed item, from parsed answers and steps. An unanswered item is not correct, and no flag
+    but those of retrieval, which only items with an expected document have, is NULL."""
     counts = steps.groupBy("id").agg(F.count(F.lit(1)).alias("steps"), F.count_if("failed").alias("tool_errors"))
     joined = (
         posed.join(counts, "id", "left")
         .join(grounding(posed, steps), "id")
-        .join(retrieval(golden, steps), "id", "left")
+        .join(retrieval(posed, steps), "id", "left")
     )
     abstained = is_abstention(F.col("answer")) & (F.size("ungrounded_numbers") == 0)
-    all_present = F.forall("expected_values", lambda v: value_present(F.col("answer"), v))
+    all_present = F.forall("expected_values", lambda v: value_present(F.col("said"), F.col("plain"), v))
+    correct = F.when(F.col("type") == "abstain", abstained).otherwise(all_present)
     return joined.select(
         "id",
         "type",
@@ -178,13 +199,23 @@ def score_items(
         "ungrounded_numbers",
         "ungrounded_citations",
         "hallucinated",
-        "hit_step_limit",
-        F.when(F.col("type") == "abstain", abstained).otherwise(all_present).alias("correct"),
+        F.coalesce("hit_step_limit", F.lit(False)).alias("hit_step_limit"),
+        F.coalesce(correct & F.col("answer").isNotNull(), F.lit(False)).alias("correct"),
         "retrieval_hit",
         "retrieval_top1",
     )
 
 
+def score_items(
+    golden: DataFrame, answers: DataFrame, steps: DataFrame, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """One scored row per golden item, answered or not.
+
+    Answers and steps are used several times; where they come from costly plans, ``evaluate`` stores them parsed.
+    """
+    return score_posed(pose(golden, answers), parse_steps(steps, fields))
+
+
 def _rate(holds: Column, subset: Column | None = None) -> Column:
     """The share of a subset's rows for which ``holds``; NULL where the subset is empty."""
     flag = holds.cast("int")
@@ -221,7 +252,7 @@ def evaluate(
     """Score a run, append the scored rows to ``ops.eval_rows`` and the summary, with the run's name and parameters,
     to ``ops.eval_runs``; returns the summary row.
 
-    The steps are parsed once, into a stage table many times smaller than their JSON, and scored from there.
+    Steps and posed answers are parsed once, into stage tables, and scored from there.
     """
     run_id = uuid.uuid4().hex
 
@@ -231,7 +262,8 @@ def evaluate(
         return store.read(layer, name, mine.schema).where(F.col("run_id") == run_id)
 
     parsed = kept(parse_steps(steps), "stage", "eval_steps").drop("run_id")
-    items = kept(score_items(golden, answers, parsed), "ops", "eval_rows")
+    posed = kept(pose(golden, answers), "stage", "eval_answers").drop("run_id")
+    items = kept(score_posed(posed, parsed), "ops", "eval_rows")
     named = [x for k, v in (params or {}).items() for x in (F.lit(k), F.lit(str(v)))]
     summary = summarize(items).select(
         F.lit(run_id).alias("run_id"),

@@ -1,7 +1,8 @@
 """The warehouse tables in the shape of the three source extracts.
 
-Customers, orders and events are rewritten as untidy text: padded, wrongly cased, delivered more than once, some rows
-breaking a rule, some pointing to customers that are themselves rejected. Every row of a table is used.
+Customers, orders and events are rewritten as untidy text: padded, wrongly cased, delivered more than once, some
+pointing to customers that are themselves rejected. Every rule is broken by the rows whose key is a multiple of the
+rule's number in ``BROKEN``, so that some rows break several. Every row of a table is used.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ ID_DIGITS = 9
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
 BATCH = "warehouse"
+#: Rows whose key is divisible by the number break the rule.
+BROKEN = {
+    "customer_id_format": 29, "region_valid": 23, "segment_valid": 19, "updated_at_valid": 17,
+    "invoice_id_present": 31, "amount_not_null": 29, "amount_positive": 23, "status_valid": 19, "issued_at_valid": 17,
+    "ticket_id_present": 31, "priority_valid": 23, "opened_at_valid": 17,
+}
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -31,6 +38,10 @@ def _text_id(key: str) -> Column:
     return F.lpad(F.col(key).cast("string"), ID_DIGITS, "0")
 
 
+def _broken(key: str, rule: str, instead: str, otherwise: Column) -> Column:
+    return F.when(F.col(key) % BROKEN[rule] == 0, instead).otherwise(otherwise)
+
+
 def _deliveries(again: Column) -> Column:
     """Delivery numbers of a row: 0 is the older one, sent only where ``again`` holds, 1 the current one."""
     return F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("delivery")
@@ -46,12 +57,13 @@ def customer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = F.col("delivery") == 1
     host = F.when(F.col("c_acctbal") > 0, "@EXAMPLE.COM ").otherwise("")
     return rows.select("*", _deliveries(F.lit(True))).select(
-        F.concat(F.lit(" c"), _text_id("c_custkey")).alias("customer_id"),
+        F.concat(_broken("c_custkey", "customer_id_format", " x", F.lit(" c")), _text_id("c_custkey")).alias("customer_id"),
         F.concat(F.upper("c_name"), F.lit("  ")).alias("full_name"),
         F.concat(F.lit(" "), F.translate(F.upper("c_name"), "#", "."), host).alias("email"),
-        F.when(current, F.lower("r_name")).otherwise("africa").alias("region"),
-        F.concat(F.col("c_mktsegment"), F.lit(" ")).alias("segment"),
-        F.when(current, "2024-02-01 00:00:00").otherwise("2024-01-01 00:00:00").alias("updated_at"),
+        _broken("c_custkey", "region_valid", "mars", F.when(current, F.lower("r_name")).otherwise("africa")).alias("region"),
+        _broken("c_custkey", "segment_valid", "none ", F.concat(F.col("c_mktsegment"), F.lit(" "))).alias("segment"),
+        _broken("c_custkey", "updated_at_valid", "yesterday",
+                F.when(current, "2024-02-01 00:00:00").otherwise("2024-01-01 00:00:00")).alias("updated_at"),
         "_source_file", "_ingested_at", "_batch_id",
     )
 
@@ -64,13 +76,15 @@ def invoice_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     issued = F.when(older, F.col("o_orderdate") - F.expr("interval 1 day")).otherwise(F.col("o_orderdate"))
     codes = F.array(*(F.lit(c) for c in ("usd", "eur", "gbp", "xxx")))
     return rows.select("*", _deliveries(status == "P")).select(
-        F.concat(F.lit(" INV-"), F.col("o_orderkey").cast("string")).alias("invoice_id"),
+        _broken("o_orderkey", "invoice_id_present", "  ",
+                F.concat(F.lit(" INV-"), F.col("o_orderkey").cast("string"))).alias("invoice_id"),
         F.col("o_custkey").cast("string").alias("customer_ref"),
-        F.col("o_totalprice").cast("string").alias("amount"),
+        F.when(F.col("o_orderkey") % BROKEN["amount_not_null"] == 0, "n/a").otherwise(F.concat(
+            _broken("o_orderkey", "amount_positive", "-", F.lit("")), F.col("o_totalprice").cast("string"))).alias("amount"),
         F.get(codes, F.pmod(F.col("o_orderkey"), F.lit(4)).cast("int")).alias("currency"),
-        F.when(older, "OPEN").when(status == "F", "PAID").when(status == "O", "Open").when(status == "P", "VOID")
-        .otherwise(status).alias("status"),
-        F.date_format(issued, TEXT_TIME).alias("issued_at"),
+        _broken("o_orderkey", "status_valid", "lost", F.when(older, "OPEN").when(status == "F", "PAID").when(status == "O", "Open")
+                .when(status == "P", "VOID").otherwise(status)).alias("status"),
+        _broken("o_orderkey", "issued_at_valid", "soon", F.date_format(issued, TEXT_TIME)).alias("issued_at"),
         "_source_file", "_ingested_at", "_batch_id",
     )
 
@@ -83,13 +97,13 @@ def ticket_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = F.col("delivery") == 0
     opened = F.when(older, F.col("ts") - F.expr("interval 1 day")).otherwise(F.col("ts"))
     return rows.select("*", _deliveries(kind == "click")).select(
-        F.concat(F.lit("T-"), F.col("event_id").cast("string"), F.lit(" ")).alias("ticket_id"),
+        _broken("event_id", "ticket_id_present", " ", F.concat(F.lit("T-"), F.col("event_id").cast("string"), F.lit(" "))).alias("ticket_id"),
         F.concat(F.lit("c"), _text_id("user_id")).alias("customer_id"),
         F.concat(F.lit(" "), kind).alias("subject"),
-        F.when(value > 200, "p1").when(value > 50, "p2").otherwise("p3").alias("priority"),
+        _broken("event_id", "priority_valid", "p9", F.when(value > 200, "p1").when(value > 50, "p2").otherwise("p3")).alias("priority"),
         F.when(older | (kind == "error"), "OPEN").when(kind == "view", "Pending").when(kind == "click", "closed")
         .otherwise(kind).alias("status"),
-        F.date_format(opened, TEXT_TIME).alias("opened_at"),
+        _broken("event_id", "opened_at_valid", "later", F.date_format(opened, TEXT_TIME)).alias("opened_at"),
         "_source_file", "_ingested_at", "_batch_id",
     )
 

@@ -75,8 +75,7 @@ def land_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _write_extracts(spark, sf_dir, scratch_dir(spark, "json"))["billing"]
     landed = land.read_strings(spark, folder, extracts.invoices().source_columns, "json", "b1")
-    return landed.select("invoice_id", "customer_ref", "currency", "status", "issued_at",
-                         F.col("_batch_id").alias("batch_id"))
+    return landed.select(*extracts.invoices().source_columns, F.col("_batch_id").alias("batch_id"))
 
 
 def stream_land_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,10 +152,11 @@ def convert_by_rates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rejects of all three record kinds by name, columns a kind lacks as NULL."""
+    """The rejects of all three record kinds by name with their landed text, columns a kind lacks as NULL."""
     parts = [
         refine.quarantine(judged, entity).select(
-            *dict.fromkeys(["customer_id", entity.key]), F.col(rules.FAILED_RULES).alias("failed_rules")
+            *dict.fromkeys(["customer_id", entity.key]), F.col(rules.FAILED_RULES).alias("failed_rules"),
+            F.concat_ws("|", *[F.col(refine.RAW)[name] for name in entity.source_columns]).alias("raw"),
         )
         for entity, judged in Warehouse(spark, sf_dir).judged()
     ]
@@ -200,7 +200,7 @@ def _report(name: str, **args: object):
 
 TOP_CUSTOMERS = """
     select customer_id, full_name, region, total_billed_usd, invoice_count
-    from customer_360 order by total_billed_usd desc, customer_id"""
+    from customer_360 order by total_billed_usd desc, customer_id limit 200"""
 REGION_JOIN = """
     with sums as (
       select region, round(sum(revenue_usd), 2) as revenue_usd, count(distinct month) as months
@@ -249,41 +249,81 @@ def incremental_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- SQL counterparts ------------------------------------------------------------------------------------------------
 
-_VALID_CUSTOMERS = """
-    select 'C' || lpad(c_custkey::varchar, 9, '0') as customer_id,
-           upper(left(c_name, 1)) || lower(substr(c_name, 2)) as full_name,
-           lower(replace(c_name, '#', '.')) || '@example.com' as email,
-           r_name as region, lower(c_mktsegment) as segment, timestamp '2024-02-01 00:00:00' as updated_at
-    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-    where c_acctbal > 0"""
-
-_TYPED_INVOICES = """
-    select 'INV-' || o_orderkey as invoice_id, 'C' || lpad(o_custkey::varchar, 9, '0') as customer_id,
-           o_totalprice::decimal(18,4) as amount,
-           case o_orderkey % 4 when 0 then 'USD' when 1 then 'EUR' when 2 then 'GBP' else 'XXX' end as currency,
-           case o_orderstatus when 'F' then 'paid' when 'O' then 'open' when 'P' then 'void' end as status,
-           o_orderdate::timestamp as issued_at
-    from orders"""
-
-_TYPED_TICKETS = """
-    select 'T-' || event_id as ticket_id, 'C' || lpad(user_id::varchar, 9, '0') as customer_id, event_type as subject,
-           case when value > 200 then 'P1' when value > 50 then 'P2' else 'P3' end as priority,
-           case event_type when 'error' then 'open' when 'view' then 'pending' when 'click' then 'closed'
-                else event_type end as status,
-           ts::timestamp as opened_at
-    from events"""
-
-_LAYERS = f"""
-    c as ({_VALID_CUSTOMERS}),
-    typed_i as ({_TYPED_INVOICES}),
-    typed_t as ({_TYPED_TICKETS}),
+_NOT = extracts.BROKEN
+
+
+def _names(rules: dict[str, str]) -> str:
+    """SQL for the names of the rules whose predicate does not hold, joined by commas."""
+    cases = ", ".join(f"case when not coalesce({holds}, false) then '{name}' end" for name, holds in rules.items())
+    return f"array_to_string(list_filter([{cases}], lambda x: x is not null), ',')"
+
+
+# The extracts as landed (dc, di, dt), typed with the rules each row breaks (tc, ti, tt), and what remains (c, i, t).
+_RAW = f"""
+    dc as (
+      select c_custkey, d, case when c_custkey % {_NOT["customer_id_format"]} = 0 then ' x' else ' c' end || lpad(c_custkey::varchar, 9, '0') as customer_id,
+             upper(c_name) || '  ' as full_name,
+             ' ' || replace(upper(c_name), '#', '.') || case when c_acctbal > 0 then '@EXAMPLE.COM ' else '' end as email,
+             case when c_custkey % {_NOT["region_valid"]} = 0 then 'mars' when d = 1 then lower(r_name) else 'africa' end as region,
+             case when c_custkey % {_NOT["segment_valid"]} = 0 then 'none' else c_mktsegment end || ' ' as segment,
+             case when c_custkey % {_NOT["updated_at_valid"]} = 0 then 'yesterday' when d = 1 then '2024-02-01 00:00:00'
+                  else '2024-01-01 00:00:00' end as updated_at
+      from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey,
+           (values (0), (1)) v(d)),
+    di as (
+      select o_orderkey, d, case when o_orderkey % {_NOT["invoice_id_present"]} = 0 then '  ' else ' INV-' || o_orderkey end as invoice_id,
+             o_custkey::varchar as customer_ref,
+             case when o_orderkey % {_NOT["amount_not_null"]} = 0 then 'n/a'
+                  else case when o_orderkey % {_NOT["amount_positive"]} = 0 then '-' else '' end || o_totalprice end as amount,
+             case o_orderkey % 4 when 0 then 'usd' when 1 then 'eur' when 2 then 'gbp' else 'xxx' end as currency,
+             case when o_orderkey % {_NOT["status_valid"]} = 0 then 'lost' when d = 0 then 'OPEN' when o_orderstatus = 'F' then 'PAID'
+                  when o_orderstatus = 'O' then 'Open' else 'VOID' end as status,
+             case when o_orderkey % {_NOT["issued_at_valid"]} = 0 then 'soon'
+                  else strftime(o_orderdate - case d when 0 then interval 1 day else interval 0 day end, '%Y-%m-%d %H:%M:%S.%f') end as issued_at
+      from orders, (values (0), (1)) v(d) where d = 1 or o_orderstatus = 'P'),
+    dt as (
+      select event_id, d, case when event_id % {_NOT["ticket_id_present"]} = 0 then ' ' else 'T-' || event_id || ' ' end as ticket_id,
+             'c' || lpad(user_id::varchar, 9, '0') as customer_id, ' ' || event_type as subject,
+             case when event_id % {_NOT["priority_valid"]} = 0 then 'p9' when value > 200 then 'p1' when value > 50 then 'p2' else 'p3' end as priority,
+             case when d = 0 or event_type = 'error' then 'OPEN' when event_type = 'view' then 'Pending' when event_type = 'click' then 'closed'
+                  else event_type end as status,
+             case when event_id % {_NOT["opened_at_valid"]} = 0 then 'later'
+                  else strftime(ts - case d when 0 then interval 1 day else interval 0 day end, '%Y-%m-%d %H:%M:%S.%f') end as opened_at
+      from events, (values (0), (1)) v(d) where d = 1 or event_type = 'click')"""
+
+_LAYERS = f"""{_RAW},
+    tc as (
+      select *, {_names({
+          "customer_id_format": "regexp_full_match(customer_id, 'C[0-9]{9}')", "region_valid": f"region in {extracts.REGIONS}",
+          "segment_valid": f"segment in {extracts.SEGMENTS}", "updated_at_valid": "updated_at is not null",
+          "email_has_at": "contains(email, '@')"})} as failed
+      from (select d, upper(trim(customer_id)) as customer_id,
+                   upper(left(trim(full_name), 1)) || lower(substr(trim(full_name), 2)) as full_name, lower(trim(email)) as email,
+                   upper(trim(region)) as region, lower(trim(segment)) as segment, try_cast(updated_at as timestamp) as updated_at,
+                   concat_ws('|', customer_id, full_name, email, region, segment, updated_at) as raw from dc)),
+    ti as (
+      select *, {_names({
+          "invoice_id_present": "invoice_id != ''", "amount_not_null": "amount is not null", "amount_positive": "amount > 0",
+          "currency_valid": "currency in ('USD', 'EUR', 'GBP')", "status_valid": "status in ('paid', 'open', 'void')",
+          "issued_at_valid": "issued_at is not null"})} as failed
+      from (select d, trim(invoice_id) as invoice_id, 'C' || lpad(trim(customer_ref), 9, '0') as customer_id,
+                   try_cast(amount as decimal(18,4)) as amount, upper(currency) as currency, lower(status) as status,
+                   try_cast(issued_at as timestamp) as issued_at,
+                   concat_ws('|', invoice_id, customer_ref, amount, currency, status, issued_at) as raw from di)),
+    tt as (
+      select *, {_names({
+          "ticket_id_present": "ticket_id != ''", "priority_valid": "priority in ('P1', 'P2', 'P3')",
+          "status_valid": "status in ('open', 'closed', 'pending')", "opened_at_valid": "opened_at is not null"})} as failed
+      from (select d, trim(ticket_id) as ticket_id, upper(customer_id) as customer_id, trim(subject) as subject,
+                   upper(priority) as priority, lower(status) as status, try_cast(opened_at as timestamp) as opened_at,
+                   concat_ws('|', ticket_id, customer_id, subject, priority, status, opened_at) as raw from dt)),
+    c as (select * exclude (d, failed, raw) from tc where d = 1 and failed = ''),
     i as (
-      select *, round(amount * case currency when 'USD' then 1.00 when 'EUR' then 1.08 else 1.27 end::decimal(9,4), 2)
-                ::decimal(18,2) as amount_usd
-      from typed_i where currency != 'XXX' and amount > 0 and customer_id in (select customer_id from c)),
+      select * exclude (d, failed, raw),
+             round(amount * case currency when 'USD' then 1.00 when 'EUR' then 1.08 else 1.27 end::decimal(9,4), 2)::decimal(18,2) as amount_usd
+      from ti where d = 1 and failed = '' and customer_id in (select customer_id from c)),
     t as (
-      select * from typed_t
-      where status in ('open', 'pending', 'closed') and customer_id in (select customer_id from c)),
+      select * exclude (d, failed, raw) from tt where d = 1 and failed = '' and customer_id in (select customer_id from c)),
     by_i as (
       select customer_id, sum(case when status != 'void' then amount_usd else 0 end)::double as total_billed_usd,
              sum(case when status = 'paid' then amount_usd else 0 end)::double as total_paid_usd,
@@ -307,24 +347,19 @@ _LAYERS = f"""
       select priority, status, segment, count(*) as ticket_count
       from t join c using (customer_id) group by 1, 2, 3)"""
 
+def _count_of(entity: str, typed: str, kept: str, orphans: str) -> str:
+    return f"""
+      select '{entity}' as entity, count(*) as rows_in, (select count(*) from {kept}) as rows_out,
+             count(*) filter (failed != '') + count(*) filter ({orphans}) as rows_quarantined,
+             count(*) filter (failed = '' and d = 0) as superseded
+      from {typed}"""
+
+
+_ORPHAN = "d = 1 and failed = '' and customer_id not in (select customer_id from c)"
 _COUNTS = f"""
     with {_LAYERS},
-    counts as (
-      select 'customers' as entity, (select 2 * count(*) from customer) as rows_in, (select count(*) from c) as rows_out,
-             (select 2 * count(*) from customer where not c_acctbal > 0) as rows_quarantined,
-             (select count(*) from c) as superseded
-      union all
-      select 'invoices', (select count(*) + count(*) filter (o_orderstatus = 'P') from orders),
-             (select count(*) from i),
-             (select count(*) from typed_i where currency != 'XXX' and customer_id not in (select customer_id from c))
-             + (select count(*) + count(*) filter (o_orderstatus = 'P') from orders where o_orderkey % 4 = 3),
-             (select count(*) from orders where o_orderstatus = 'P' and o_orderkey % 4 != 3)
-      union all
-      select 'tickets', (select count(*) + count(*) filter (event_type = 'click') from events),
-             (select count(*) from t),
-             (select count(*) from typed_t where status not in ('open', 'pending', 'closed')
-                                              or customer_id not in (select customer_id from c)),
-             (select count(*) from events where event_type = 'click'))"""
+    counts as ({_count_of("customers", "tc", "c", "false")} union all {_count_of("invoices", "ti", "i", _ORPHAN)}
+      union all {_count_of("tickets", "tt", "t", _ORPHAN)})"""
 
 _RULE_CASES = """list_filter([
     case when not coalesce(o_orderkey is not null, false) then 'order_present' end,
@@ -383,21 +418,8 @@ ORACLE = {
     "land_lineage": """
         select c_custkey::varchar as c_custkey, c_name, c_mktsegment, 'customer.parquet' as file_name,
                true as has_time, 'b1' as batch_id from customer""",
-    "land_csv": """
-        select ' c' || lpad(c_custkey::varchar, 9, '0') as customer_id, upper(c_name) || '  ' as full_name,
-               ' ' || replace(upper(c_name), '#', '.') || case when c_acctbal > 0 then '@EXAMPLE.COM ' else '' end as email,
-               case d when 1 then lower(r_name) else 'africa' end as region, c_mktsegment || ' ' as segment,
-               case d when 1 then '2024-02-01 00:00:00' else '2024-01-01 00:00:00' end as updated_at, 'b1' as batch_id
-        from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey,
-             (values (0), (1)) v(d)""",
-    "land_json": """
-        select ' INV-' || o_orderkey as invoice_id, o_custkey::varchar as customer_ref,
-               case o_orderkey % 4 when 0 then 'usd' when 1 then 'eur' when 2 then 'gbp' else 'xxx' end as currency,
-               case when d = 0 then 'OPEN' when o_orderstatus = 'F' then 'PAID' when o_orderstatus = 'O' then 'Open'
-                    else 'VOID' end as status,
-               strftime(o_orderdate - case d when 0 then interval 1 day else interval 0 day end,
-                        '%Y-%m-%d %H:%M:%S.%f') as issued_at, 'b1' as batch_id
-        from orders, (values (0), (1)) v(d) where d = 1 or o_orderstatus = 'P'""",
+    "land_csv": f"with {_RAW} select * exclude (c_custkey, d), 'b1' as batch_id from dc",
+    "land_json": f"with {_RAW} select * exclude (o_orderkey, d), 'b1' as batch_id from di",
     "stream_land_events": "select *, 'b1' as batch_id from events",
     "rules_valid_orders": f"select o_orderkey, o_totalprice from orders where len({_RULE_CASES}) = 0",
     "rules_quarantine_orders": f"""
@@ -413,7 +435,7 @@ ORACLE = {
     "integrity_orphan_orders": """
         select o_orderkey, o_custkey as c_custkey, 'customer_exists' as failed_rules from orders
         where o_custkey not in (select c_custkey from customer where c_acctbal > 0)""",
-    "refine_customers": _VALID_CUSTOMERS,
+    "refine_customers": over_layers("select * from c"),
     "refine_invoices": over_layers("""
         select invoice_id, customer_id, amount::double as amount, currency, status, issued_at,
                amount_usd::double as amount_usd from i"""),
@@ -422,21 +444,14 @@ ORACLE = {
         select c_custkey, c_acctbal as amount, n_name as currency,
                round(c_acctbal::decimal(18,4) * ((n_nationkey % 7 + 1) * 0.25)::decimal(9,4), 2)::double as amount_usd
         from customer left join (select * from nation where n_nationkey % 5 != 0) on c_nationkey = n_nationkey""",
-    "quarantine_all": over_layers("""
-        select 'C' || lpad(c_custkey::varchar, 9, '0') as customer_id, null::varchar as invoice_id,
-               null::varchar as ticket_id, 'email_has_at' as failed_rules
-        from customer, (values (0), (1)) v(d) where not c_acctbal > 0
-        union all
-        select customer_id, invoice_id, null, 'currency_valid'
-        from typed_i, (values (0), (1)) v(d) where currency = 'XXX' and (d = 1 or status = 'void')
-        union all
-        select customer_id, invoice_id, null, 'customer_exists'
-        from typed_i where currency != 'XXX' and customer_id not in (select customer_id from c)
+    "quarantine_all": over_layers(f"""
+        select customer_id, null::varchar as invoice_id, null::varchar as ticket_id, failed as failed_rules, raw from tc where failed != ''
         union all
-        select customer_id, null, ticket_id, 'status_valid' from typed_t where status not in ('open', 'pending', 'closed')
+        select customer_id, invoice_id, null, case when failed = '' then 'customer_exists' else failed end, raw
+        from ti where failed != '' or {_ORPHAN}
         union all
-        select customer_id, null, ticket_id, 'customer_exists'
-        from typed_t where status in ('open', 'pending', 'closed') and customer_id not in (select customer_id from c)"""),
+        select customer_id, null, ticket_id, case when failed = '' then 'customer_exists' else failed end, raw
+        from tt where failed != '' or {_ORPHAN}"""),
     "reconcile_counts": f"{_COUNTS} select *, rows_out as distinct_keys, true as balanced from counts",
     "mart_customer_360": over_layers("select * from customer_360"),
     "mart_monthly_revenue": over_layers("select * from monthly_revenue"),
@@ -454,7 +469,7 @@ ORACLE = {
     "report_customers": over_layers("select count(*) as customers from customer_360"),
     "report_top_billed_customer": over_layers("""
         select customer_id, total_billed_usd from customer_360 order by total_billed_usd desc, customer_id limit 1"""),
-    "published_top_customers": over_layers(f"{TOP_CUSTOMERS} limit 200"),
+    "published_top_customers": over_layers(TOP_CUSTOMERS),
     "published_region_join": over_layers(f"select * from ({REGION_JOIN})"),
     "batch_run_log": f"""{_COUNTS},
         gold as (

@@ -1,4 +1,4 @@
-"""Where tables live and how many rows a published query may return."""
+"""Where tables live and how many rows of a published query may be fetched."""
 
 from __future__ import annotations
 

@@ -44,8 +44,8 @@ class Store:
             return (reader.schema(schema) if schema else reader).load(self.path(layer, name))
         return self.spark.table(self.table(layer, name))
 
-    def append_stream(self, df: DataFrame, layer: str, name: str, checkpoint: str) -> int:
-        """Append what is new in a stream and stop; returns the number of new rows.
+    def append_stream(self, df: DataFrame, layer: str, name: str, checkpoint: str) -> None:
+        """Append what is new in a stream and stop.
 
         The checkpoint remembers the files already taken, so each is landed exactly once however often this runs.
         """
@@ -57,4 +57,3 @@ class Store:
         )
         query = writer.start(self.path(layer, name)) if self.by_path else writer.toTable(self.table(layer, name))
         query.awaitTermination()
-        return sum(p["numInputRows"] for p in query.recentProgress)

@@ -1,10 +1,12 @@
-"""The same run over growing folders: only files not seen before are landed, then silver and gold are rebuilt."""
+"""The same run over growing folders: only files not seen before are landed, and only what they touch is refined."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
 
+from pyspark.sql import functions as F
+
 from strata.operators import runlog
 from strata.operators.refine import Entity
 from strata.plans.batch import SOURCES, count_landed, default_entities, refine_and_model
@@ -16,9 +18,13 @@ from strata.sources.tables import Store
 def land_new_files(
     store: Store, folder: str, entity: Entity, fmt: str, batch_id: str, checkpoints: str
 ) -> int:
-    """Append the rows of new files to bronze; returns how many there were."""
+    """Append the rows of new files to bronze; returns how many there were.
+
+    They are counted in bronze by their batch id, whatever number of micro-batches brought them.
+    """
     rows = land.stream_strings(store.spark, folder, entity.source_columns, fmt, batch_id)
-    return store.append_stream(rows, "bronze", entity.name, f"{checkpoints.rstrip('/')}/{entity.name}")
+    store.append_stream(rows, "bronze", entity.name, f"{checkpoints.rstrip('/')}/{entity.name}")
+    return store.read("bronze", entity.name).where(F.col("_batch_id") == batch_id).agg(F.count(F.lit(1))).first()[0]
 
 
 def run_incremental(
