@@ -1,7 +1,8 @@
 """Expected values of the golden questions, worked out from the landed text by a second road.
 
 Nothing here uses the typing, rule, deduplication or mart code of the refinement: where the two disagree, an
-evaluation fails.
+evaluation fails. Revisions with the same time are put in a total order, the same as the refinement's: by landing time
+and then by the landed text.
 """
 
 from __future__ import annotations
@@ -24,15 +25,18 @@ QUESTIONS = {
 
 _FACTS = """
 with c as (
-  select id, max_by(region, updated) as region, max_by(segment, updated) as segment
-  from (select upper(trim(customer_id)) as id, upper(trim(region)) as region, lower(trim(segment)) as segment,
-               email, try_cast(updated_at as timestamp) as updated
-        from {customers})
-  where id rlike :id_format and array_contains(:regions, region) and array_contains(:segments, segment)
-    and updated is not null and contains(email, '@')
-  group by id),
+  select id, latest.region, latest.segment
+  from (select id, max(struct(updated, landed, customer_id, full_name, email, raw_region, raw_segment, updated_at, region, segment)) as latest
+        from (select upper(trim(customer_id)) as id, upper(trim(region)) as region, lower(trim(segment)) as segment,
+                     try_cast(updated_at as timestamp) as updated, _ingested_at as landed, customer_id, full_name, email,
+                     region as raw_region, segment as raw_segment, updated_at
+              from {customers})
+        where id rlike :id_format and array_contains(:regions, region) and array_contains(:segments, segment)
+          and updated is not null and contains(email, '@')
+        group by id)),
 latest_invoice as (
-  select trim(invoice_id) as invoice, max_by(struct(*), try_cast(issued_at as timestamp)) as row
+  select trim(invoice_id) as invoice,
+         max_by(struct(*), struct(try_cast(issued_at as timestamp), _ingested_at, invoice_id, customer_ref, amount, currency, status, issued_at)) as row
   from {invoices}
   where trim(invoice_id) != '' and try_cast(amount as decimal(18,4)) > 0
     and upper(trim(currency)) in ('USD', 'EUR', 'GBP') and lower(trim(status)) in ('paid', 'open', 'void')
@@ -50,7 +54,8 @@ by_reference as (
   from priced group by id),
 per_customer as (select id, region, paid, billed from by_reference join c using (id)),
 latest_ticket as (
-  select trim(ticket_id) as ticket, max_by(struct(*), try_cast(opened_at as timestamp)) as row
+  select trim(ticket_id) as ticket,
+         max_by(struct(*), struct(try_cast(opened_at as timestamp), _ingested_at, ticket_id, customer_id, subject, priority, status, opened_at)) as row
   from {tickets}
   where trim(ticket_id) != '' and upper(trim(priority)) in ('P1', 'P2', 'P3')
     and lower(trim(status)) in ('open', 'closed', 'pending') and try_cast(opened_at as timestamp) is not null
@@ -60,7 +65,7 @@ open_by_customer as (
   from latest_ticket where lower(trim(row.status)) = 'open' group by 1),
 t as (select coalesce(sum(n), 0) as n, coalesce(sum(p1), 0) as p1 from open_by_customer left semi join c using (id)),
 region_sums as (select region, sum(paid) as paid from per_customer group by region)
-select 'top_region' as fact, array(max_by(region, paid), cast(cast(max(paid) as decimal(38,2)) as string)) as expected
+select 'top_region' as fact, array(min_by(region, struct(-paid, region)), cast(cast(max(paid) as decimal(38,2)) as string)) as expected
 from region_sums
 union all select 'total_revenue', array(cast(cast(sum(paid) as decimal(38,2)) as string)) from region_sums
 union all select 'open_p1', array(cast(p1 as string)) from t
@@ -94,6 +99,24 @@ def expected_facts(
     return spark.sql(_FACTS, args=parameters, customers=customers, invoices=invoices, tickets=tickets)
 
 
+def documented_items(items: DataFrame, facts: DataFrame) -> DataFrame:
+    """Golden rows of the other types from a table (id, type, question, documented, facts, expected_doc).
+
+    ``documented`` are the values a document states, ``facts`` the names of computed facts whose values an answer must
+    hold as well (``hybrid`` items); either may be NULL. Values keep their order, documented ones first. A fact that
+    was not computed is an error.
+    """
+    asked = items.select("id", F.posexplode(F.coalesce("facts", F.array().cast("array<string>"))).alias("at", "fact"))
+    found = asked.join(facts, "fact", "left").select(
+        "id", "at", F.when(F.col("expected").isNull(), F.raise_error(F.concat(F.lit("no fact "), F.col("fact")))).otherwise(F.col("expected")).alias("expected")
+    )
+    own = found.groupBy("id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "expected"))), lambda f: f.expected)).alias("computed"))
+    none = F.array().cast("array<string>")
+    return items.join(own, "id", "left").select(
+        "id", "type", "question", F.concat(F.coalesce("documented", none), F.coalesce("computed", none)).alias("expected_values"), "expected_doc"
+    )
+
+
 def sql_questions(facts: DataFrame) -> DataFrame:
     """The facts as golden rows of type ``sql``."""
     text = F.create_map(*(F.lit(x) for pair in QUESTIONS.items() for x in pair))

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import json
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,52 +86,74 @@ def test_overconfident_answers_are_found(run):
     assert summary.abstain_accuracy == 0.0 and summary.hallucination_rate > 0
 
 
-NUMBER = re.compile(r"(?<![\w.])\d+(?:,\d{3})*(?:\.\d+)?")
-CITED = re.compile(r"\[source:\s*([\w\-]+)\]")
-
-
-def floats(text):
-    return [float(n.replace(",", "")) for n in NUMBER.findall(text)]
-
-
-def walk(value):
-    if isinstance(value, dict):
-        return [n for v in value.values() for n in walk(v)]
-    if isinstance(value, list):
-        return [n for v in value for n in walk(v)]
-    if isinstance(value, bool) or value is None:
-        return []
-    return [float(value)] if isinstance(value, (int, float)) else floats(value)
-
-
-def test_grounding_matches_brute_force(spark):
+def test_grounding_finds_what_was_made_up(spark):
+    """Answers are put together from known evidence and known inventions."""
     rng = random.Random(8)
-    number = lambda: rng.choice([f"{rng.randrange(40)}", f"{rng.random() * 2:.3f}", "1,000.50", "4" * 25])
     answers, steps, wanted = [], [], {}
     for i in range(250):
-        mine = []
+        held, docs = [], []
         for no in range(rng.randrange(4)):
-            kind = rng.randrange(3)
-            result = (
-                {"error": f"code {number()}"} if kind == 0
-                else {"rows": [{"v": float(number().replace(",", "")), "b": True}], "row_count": 1} if kind == 1
-                else {"results": [{"doc_id": f"d{rng.randrange(4)}", "text": f"has {number()}\n-{number()}"}]}
-            )
-            mine.append(result)
+            kind, number = rng.randrange(3), round(rng.random() * 500, 2)
+            if kind == 0:  # a failed step is no evidence
+                result = {"error": f"code {number}", "results": [{"doc_id": "lost"}]}
+            elif kind == 1:
+                result = {"rows": [{"v": -number if no else number, "b": True}]}
+                held += [] if no else [number]
+            else:
+                result = {"results": [{"doc_id": f"d{no}", "text": f"says {number}\n-{number + 1000}"}]}
+                held += [number, number + 1000]
+                docs.append(f"d{no}")
             steps.append((str(i), no, "search_documents" if kind == 2 else "run_sql", json.dumps(result)))
-        question = f"about {number()}?"
-        answer = f"{number()} and {number()}, {number()} [source: d{rng.randrange(4)}] [source: 7-x]"
-        answers.append((str(i), question, answer, False))
-        good = [m for m in mine if "error" not in m]
-        allowed = walk(good) + floats(question)
-        docs = {r["doc_id"] for m in good for r in m.get("results", [])}
-        numbers = [n for n in floats(CITED.sub("", answer)) if not any(abs(n - a) < 0.011 for a in allowed)]
-        wanted[str(i)] = (numbers, [c for c in CITED.findall(answer) if c not in docs])
+        asked = round(5000 + rng.random(), 2)
+        held.append(asked)
+        said, numbers, cited = [], [], []
+        for _ in range(rng.randrange(6)):
+            pick = rng.randrange(4)
+            if pick == 0:
+                said.append(f"{rng.choice(held) + rng.choice([0, 0.01]):,.2f}")  # within the tolerance
+            elif pick == 1:
+                made_up = 900_000 + rng.randrange(9000) / 10
+                said.append(f"{made_up:,.1f}")
+                numbers.append(made_up)
+            elif pick == 2 and docs:
+                said.append(f"[source: {rng.choice(docs)}]")
+            else:
+                said.append("[source:7-lost]")
+                cited.append("7-lost")
+        answers.append((str(i), f"about {asked}?", " and ".join(said), False))
+        wanted[str(i)] = (numbers, cited)
     found = scoring.grounding(spark.createDataFrame(answers, ANSWERS), spark.createDataFrame(steps, STEPS)).collect()
     assert {r.id: (r.ungrounded_numbers, r.ungrounded_citations) for r in found} == wanted
     assert all(r.hallucinated == bool(r.ungrounded_numbers or r.ungrounded_citations) for r in found)
 
 
+def test_unanswered_and_null_items_are_not_correct(spark):
+    asked = spark.createDataFrame([("a", "sql", "N 1?", ["1"], None), ("b", "sql", "N 2?", ["2"], "d"), ("c", "abstain", "?", [], None),
+                                   ("d", "doc", "?", None, None), ("e", "abstain", "?", [], None)], GOLDEN)
+    answers = spark.createDataFrame([("a", "", "It is 1", None), ("d", "", "text", False), ("e", "", None, None)], ANSWERS)
+    rows = {r.id: r for r in scoring.score_items(asked, answers, spark.createDataFrame([], STEPS)).collect()}
+    assert {i: r.correct for i, r in rows.items()} == {"a": True, "b": False, "c": False, "d": False, "e": False}
+    assert rows["b"].answer is None and rows["b"].retrieval_hit is False and rows["b"].hallucinated is False
+    assert all(r.hit_step_limit is False and r.steps == 0 and r.ungrounded_numbers == [] for r in rows.values())
+    summary = scoring.summarize(scoring.score_items(asked, answers, spark.createDataFrame([], STEPS))).first()
+    assert (summary.n_questions, summary.answer_accuracy, summary.abstain_accuracy) == (5, 0.2, 0.0)
+
+
+@pytest.mark.parametrize("result, numbers", [
+    ('{"rows":[{"n":4,"t":"fine 7"}]}', [4.0, 7.0]),
+    ('{"rows":[{"n":4,"t":"bad \\q 7"}]}', None),
+    ('{"rows":[{"n":4,"t":"raw\ttab 7"}]}', None),
+    ('{"rows":[{"n":4', None), ("[4]", None), ("4", None), ("", None), (None, None), ('{"error":"x 4"}', None),
+])
+def test_unreadable_results_are_failed_steps(spark, result, numbers):
+    steps = spark.createDataFrame([("a", 1, "run_sql", result)], STEPS)
+    row = scoring.parse_steps(steps).first()
+    assert (row.failed, row.numbers) == (numbers is None, numbers)
+    items = scoring.score_items(spark.createDataFrame([("a", "sql", "?", ["4"], None)], GOLDEN),
+                                spark.createDataFrame([("a", "", "It is 4", False)], ANSWERS), steps).first()
+    assert (items.tool_errors, items.hallucinated) == ((1, True) if numbers is None else (0, False))
+
+
 def test_narrowed_evidence(spark):
     steps = spark.createDataFrame([("1", 1, "run_sql", json.dumps(
         {"rows": [{"n": -5}], "row_count": 1, "sql": "select 9 limit 3", "results": [{"text": "in 7 days", "score": 0.5}]}))],
@@ -152,7 +173,8 @@ def test_narrowed_evidence(spark):
 ])
 def test_value_present(spark, answer, expected, present):
     df = spark.createDataFrame([(answer, expected)], "a string, e string")
-    assert df.select(scoring.value_present(F.col("a"), F.col("e"))).first()[0] is present
+    of = scoring.parsed_answer(F.lit(""), F.col("a"))
+    assert df.select(scoring.value_present(of["said"], of["plain"], F.col("e"))).first()[0] is present
 
 
 def test_items_without_steps_and_with_failed_steps(spark):
