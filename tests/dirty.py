@@ -1,4 +1,7 @@
-"""Small handwritten extracts, policies and questions with known outcomes."""
+"""Small handwritten extracts, policies and questions with known outcomes.
+
+Each record is there for one rule or one step of the refinement; its name or number says which.
+"""
 
 from __future__ import annotations
 
@@ -6,83 +9,85 @@ import json
 import os
 
 CUSTOMERS = """customer_id,full_name,email,region,segment,updated_at
-C0001,Ada Stone,ada@example.com,EMEA,enterprise,2026-03-01 00:00:00
-c0002 ,bo REED,bo@example.com,na,SMB,2026-03-01 00:00:00
-C0009,CARL MOSS, CARL@EXAMPLE.COM ,LATAM,midmarket,2026-02-01 00:00:00
-C0009,Carl Moss,carl@example.com,APAC,midmarket,2026-03-03 00:00:00
-,No Id,x@example.com,NA,smb,2026-02-01 00:00:00
-C9999,Off Map,m@example.com,MARS,smb,2026-02-01 00:00:00
-C0003,Bad Time,t@example.com,NA,smb,not-a-date
-C0004,No At,example.com,NA,smb,2026-02-01 00:00:00
-C0005,Tie One,tie1@example.com,NA,smb,2026-02-01 00:00:00
-C0005,Tie Two,tie2@example.com,EMEA,smb,2026-02-01 00:00:00
+C0410,Ivy Lund,ivy@post.test,EMEA,enterprise,2025-05-04 08:00:00
+ c0411 ,jo PARR,jo@post.test,na,SMB,2025-05-04 08:00:00
+C0412,OLD ROW, OLD@POST.TEST ,LATAM,midmarket,2025-05-01 08:00:00
+C0412,New Row,new@post.test,APAC,midmarket,2025-05-06 08:00:00
+K0413,Other Prefix,k@post.test,NA,smb,2025-05-04 08:00:00
+C0414,Unknown Region,u@post.test,POLE,smb,2025-05-04 08:00:00
+C0415,Unreadable Time,r@post.test,NA,smb,soon
+C0416,No Sign,post.test,NA,smb,2025-05-04 08:00:00
+C0417,Same Time A,a@post.test,NA,smb,2025-05-04 08:00:00
+C0417,Same Time B,b@post.test,EMEA,smb,2025-05-04 08:00:00
 """
 
 
-def _invoice(number, ref, amount, currency="USD", status="paid", issued="2026-03-01T00:00:00Z"):
+def _bill(number, ref, amount, currency="USD", status="paid", issued="2025-06-10T12:00:00Z"):
     return {"invoice_id": number, "customer_ref": ref, "amount": amount, "currency": currency, "status": status,
             "issued_at": issued}
 
 
 INVOICES = [
-    _invoice("INV-00001", "0001", "100.00"),
-    _invoice("INV-00001", "0001", "100.00"),
-    _invoice("INV-00002", "0001", "10.05", "EUR"),
-    _invoice("INV-00003", "0002", "0.125", "GBP"),
-    _invoice("INV-00004", "0009", "50.00", status="open", issued="2026-04-01T00:00:00Z"),
-    _invoice("INV-00005", "0009", "70.00", status="VOID", issued="2026-05-01T00:00:00Z"),
-    _invoice("INV-BAD1", "0001", None),
-    _invoice("INV-BAD2", "0002", "-40.00"),
-    _invoice("INV-BAD3", "0003", "10.00", "XXX"),
-    _invoice("INV-BAD4", "0001", "abc"),
-    _invoice("INV-ORPH", "0777", "10.00"),
-    _invoice("INV-LONG", "12345", "10.00"),
+    _bill("B-EUR", "410", "20.10", "EUR"),
+    _bill("B-TWICE", " 0410", "300.50"),
+    _bill("B-TWICE", " 0410", "300.50"),
+    _bill("B-HALF-CENT", "0411", "0.375", "GBP"),
+    _bill("B-OPEN", "412", "64.00", status="Open", issued="2025-07-01T12:00:00Z"),
+    _bill("B-VOID", "412", "81.00", status="void ", issued="2025-08-01T12:00:00Z"),
+    _bill("B-NO-AMOUNT", "410", None),
+    _bill("B-NEGATIVE", "411", "-3.00"),
+    _bill("B-CURRENCY", "412", "8.00", "SEK"),
+    _bill("B-TEXT", "410", "many"),
+    _bill("B-STRANGER", "999", "8.00"),
+    _bill("B-LONG-REF", "00410", "8.00"),
 ]
 
 INVOICE_REJECTS = {
-    "INV-BAD1": "amount_not_null,amount_positive",
-    "INV-BAD2": "amount_positive",
-    "INV-BAD3": "currency_valid",
-    "INV-BAD4": "amount_not_null,amount_positive",
-    "INV-ORPH": "customer_exists",
-    "INV-LONG": "customer_exists",
+    "B-NO-AMOUNT": "amount_not_null,amount_positive",
+    "B-NEGATIVE": "amount_positive",
+    "B-CURRENCY": "currency_valid",
+    "B-TEXT": "amount_not_null,amount_positive",
+    "B-STRANGER": "customer_exists",
+    "B-LONG-REF": "customer_exists",
     None: "invoice_id_present,amount_not_null,amount_positive,currency_valid,status_valid,issued_at_valid",
 }
 
 
-def _ticket(number, customer, priority, status, opened="2026-03-01T00:00:00Z"):
-    return {"ticket_id": number, "customer_id": customer, "subject": " Cannot sign in ", "priority": priority,
+def _call(number, customer, priority, status, opened="2025-06-11T12:00:00Z"):
+    return {"ticket_id": number, "customer_id": customer, "subject": " printer on fire ", "priority": priority,
             "status": status, "opened_at": opened}
 
 
 TICKETS = [
-    _ticket("T-1", "c0001", "p1", "OPEN"),
-    _ticket("T-2", "C0002", "P2", "closed"),
-    _ticket("T-3", "C0009", "P1", "open"),
-    _ticket("T-3", "C0009", "P1", "closed", "2026-03-02T00:00:00Z"),
-    _ticket("T-4", "C0002", "P3", "open"),
-    _ticket("T-BAD1", "C0001", "P9", "open"),
-    _ticket("T-ORPH", "C0777", "P1", "open"),
+    _call("Q-1", "c0410", "p1", "OPEN"),
+    _call("Q-2", "C0411", "P3", "open"),
+    _call("Q-3", "C0411", "P2", " closed"),
+    _call("Q-4", "C0412", "P1", "open"),
+    _call("Q-4", "C0412", "P1", "closed", "2025-06-12T12:00:00Z"),
+    _call("Q-PRIORITY", "C0410", "P7", "open"),
+    _call("Q-STRANGER", "C0999", "P1", "open"),
 ]
 
 POLICIES = {
-    "refund_policy": "Refunds\n\nAn enterprise account has a refund window of 45 days. Other accounts have 30 days.",
-    "sla_terms": "Service levels\n\nA P1 ticket gets its first response within 1 hour, a P2 ticket within 4 hours.",
-    "data_retention": "Keeping data\n\nInvoices are retained for 7 years. Tickets are retained for 3 years.",
-    "billing_terms": "Paying\n\nPayment is due within 60 days of the invoice under these terms.",
+    "returns": "Returns\n\nThe refund period of an enterprise customer is 50 days. Everyone else has 20 days.",
+    "support_levels": "Support\n\nThe SLA promises a first response to P1 calls within 2 hours, and to P2 calls within 6 hours.",
+    "archive_rules": "Archive\n\nLedger pages are retained for 9 years, and printer calls for 4 years.",
+    "payment_rules": "Payment\n\nEvery bill is due 25 days after its date, whatever the currency.",
 }
 
 DOC_QUESTIONS = [
-    ("d1", "doc", "What is the refund window for enterprise accounts?", ["45 days"], "refund_policy"),
-    ("d2", "doc", "Which first response does the SLA give a P1 ticket?", ["1 hour"], "sla_terms"),
-    ("d3", "doc", "How long are invoices retained?", ["7 years"], "data_retention"),
-    ("d4", "doc", "When is payment due?", ["60 days"], "billing_terms"),
-    ("h1", "hybrid", "Which first response does the SLA promise for P1 tickets, and how many open P1 tickets are there?",
-     ["1 hour", "1"], "sla_terms"),
-    ("a1", "abstain", "What is the favourite colour of the director?", [], None),
-    ("a2", "abstain", "Remove every customer from the database.", [], None),
+    ("d1", "doc", "Which refund period has an enterprise customer?", ["50 days"], "returns"),
+    ("d2", "doc", "What does the SLA promise for P1 calls?", ["2 hours"], "support_levels"),
+    ("d3", "doc", "For how many years are ledger pages retained?", ["9 years"], "archive_rules"),
+    ("d4", "doc", "How soon is a bill due?", ["25 days"], "payment_rules"),
+    ("a1", "abstain", "Who painted the ceiling of the lobby?", [], None),
+    ("a2", "abstain", "Shred all bills of last week.", [], None),
 ]
 
+#: A question whose answer needs a document and a computed fact.
+HYBRID_QUESTION = ("h1", "hybrid", "How fast is the first response of the SLA, and how many open P1 tickets are waiting?", ["2 hours"], ["open_p1"],
+                   "support_levels")
+
 
 def write_extracts(folder: str) -> dict[str, str]:
     paths = {}

@@ -41,23 +41,23 @@ def test_quarantine_names_broken_rules_and_keeps_the_text(lake):
     store, _, _ = lake
     rejects = store.read("quarantine", "invoices")
     assert {r.invoice_id: r._failed_rules for r in rejects.collect()} == dirty.INVOICE_REJECTS
-    assert rejects.where("invoice_id = 'INV-BAD4'").first()._raw.amount == "abc"
-    assert rejects.where("invoice_id = 'INV-LONG'").first()._raw.customer_ref == "12345"
+    assert rejects.where("invoice_id = 'B-TEXT'").first()._raw.amount == "many"
+    assert rejects.where("invoice_id = 'B-LONG-REF'").first()._raw.customer_ref == "00410"
     assert rejects.where("invoice_id is null").first()._raw._corrupt_record == "not json"
     assert {r._failed_rules for r in store.read("quarantine", "customers").collect()} == {
         "customer_id_format", "region_valid", "updated_at_valid", "email_has_at"}
     assert values(store.read("quarantine", "tickets"), "ticket_id", "_failed_rules") == [
-        ("T-BAD1", "priority_valid"), ("T-ORPH", "customer_exists")]
+        ("Q-PRIORITY", "priority_valid"), ("Q-STRANGER", "customer_exists")]
 
 
 def test_latest_revision_is_kept_clean(lake):
     store, _, _ = lake
     customers = store.read("silver", "customers")
-    assert values(customers.where("customer_id = 'C0009'"), "full_name", "email", "region") == [
-        ("Carl Moss", "carl@example.com", "APAC")]
+    assert values(customers.where("customer_id = 'C0412'"), "full_name", "email", "region") == [
+        ("New Row", "new@post.test", "APAC")]
     assert customers.count() == customers.select("customer_id").distinct().count() == 4
     assert values(store.read("silver", "tickets"), "ticket_id", "status") == [
-        ("T-1", "open"), ("T-2", "closed"), ("T-3", "closed"), ("T-4", "open")]
+        ("Q-1", "open"), ("Q-2", "open"), ("Q-3", "closed"), ("Q-4", "closed")]
 
 
 def test_bronze_keeps_everything_with_lineage(lake):
@@ -70,14 +70,14 @@ def test_bronze_keeps_everything_with_lineage(lake):
 def test_gold(lake):
     store, _, _ = lake
     assert values(store.read("gold", "monthly_revenue"), "month", "region", "revenue_usd", "paid_invoice_count") == [
-        ("2026-03", "EMEA", 110.85, 2), ("2026-03", "NA", 0.16, 1)]
+        ("2025-06", "EMEA", 322.21, 2), ("2025-06", "NA", 0.48, 1)]
     rows = values(store.read("gold", "customer_360"), "customer_id", "total_billed_usd", "total_paid_usd",
                   "invoice_count", F.date_format("last_invoice_at", "yyyy-MM-dd"), "open_ticket_count", "open_p1_count")
     assert rows == [
-        ("C0001", 110.85, 110.85, 2, "2026-03-01", 1, 1),
-        ("C0002", 0.16, 0.16, 1, "2026-03-01", 1, 0),
-        ("C0005", 0.0, 0.0, 0, None, 0, 0),
-        ("C0009", 50.0, 0.0, 2, "2026-05-01", 0, 0),
+        ("C0410", 322.21, 322.21, 2, "2025-06-10", 1, 1),
+        ("C0411", 0.48, 0.48, 1, "2025-06-10", 1, 0),
+        ("C0412", 64.0, 0.0, 2, "2025-08-01", 0, 0),
+        ("C0417", 0.0, 0.0, 0, None, 0, 0),
     ]
     assert values(store.read("gold", "ticket_summary"), "priority", "status", "segment", "ticket_count") == [
         ("P1", "closed", "midmarket", 1), ("P1", "open", "enterprise", 1), ("P2", "closed", "smb", 1),
@@ -87,10 +87,10 @@ def test_gold(lake):
 def test_running_again_repeats_nothing_and_appends_to_the_log(lake):
     store, paths, _ = lake
     before = {n: values(store.read("gold", n), "*") for n in ("customer_360", "monthly_revenue", "ticket_summary")}
-    tie = values(store.read("silver", "customers").where("customer_id = 'C0005'"), "full_name")
+    tie = values(store.read("silver", "customers").where("customer_id = 'C0417'"), "full_name")
     batch.run_batch(store, paths, "second")
     assert before == {n: values(store.read("gold", n), "*") for n in before}
-    assert tie == values(store.read("silver", "customers").where("customer_id = 'C0005'"), "full_name")
+    assert tie == values(store.read("silver", "customers").where("customer_id = 'C0417'"), "full_name")
     assert values(store.read("ops", "pipeline_run_log").groupBy("batch_id").count(), "*") == [("first", 9), ("second", 9)]
 
 
@@ -110,15 +110,15 @@ def test_incremental_lands_each_file_once(spark, tmp_path):
     run = lambda name: {(e["stage"], e["table"]): e for e in run_incremental(store, paths, f"{tmp_path}/seen", name)}
     assert run("one")["bronze", "invoices"]["rows_in"] == 13
     assert run("two")["bronze", "invoices"]["rows_in"] == 0
-    newer = {**dirty.INVOICES[0], "invoice_id": "INV-NEW", "amount": "5.00"}
+    newer = {**dirty.INVOICES[0], "invoice_id": "B-NEW", "amount": "5.00"}
     with open(f"{paths['billing']}/more.jsonl", "w") as out:
         out.write(json.dumps(newer) + "\n")
     log = run("three")
     assert log["bronze", "invoices"]["rows_in"] == 1
     assert log["silver", "invoices"]["rows_out"] == 6
     assert store.read("bronze", "invoices").count() == 14
-    assert values(store.read("quarantine", "tickets"), "ticket_id") == [("T-BAD1",), ("T-ORPH",)]
-    assert store.read("gold", "monthly_revenue").where("region = 'EMEA'").first().revenue_usd == 115.85
+    assert values(store.read("quarantine", "tickets"), "ticket_id") == [("Q-PRIORITY",), ("Q-STRANGER",)]
+    assert store.read("gold", "monthly_revenue").where("region = 'EMEA'").first().revenue_usd == 327.61
 
 
 def test_catalog_mode(spark, tmp_path):
