@@ -153,11 +153,26 @@ def clean(landed: DataFrame, entity: Entity, parents: DataFrame | None = None) -
 
     ``_outcome`` is ``valid``, ``rule_failed`` or ``orphan``; ``_failed_rules`` names the broken rules; ``_copies``
     says how many landed rows the row stands for, so the copies of all rows add up to the landed rows.
+
+    Rows are tagged once, in one scan. Rejects go through the deduplication with a key of their own each, by task and
+    row, so they stay single rows and spread evenly; the landed strings alone are shuffled.
     """
-    failed = dq.rejects(standardize(landed, entity), entity.rules).select(
-        "*", F.lit(1).cast("long").alias(COPIES), F.lit(RULE_FAILED).alias(OUTCOME)
+    tagged = standardize(landed, entity).withColumn(dq.FAILED_RULES, F.array_join(dq.broken(entity.rules), ","))
+    passed = F.col(dq.FAILED_RULES) == ""
+    candidates = tagged.select(
+        F.when(passed, F.col(entity.key)).alias("_key"), F.when(~passed, F.monotonically_increasing_id()).alias("_reject"),
+        F.col(entity.version).alias("_version"), "_ingested_at", f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), dq.FAILED_RULES,
     )
-    return failed.unionByName(accepted(landed, entity, parents), allowMissingColumns=True)
+    latest = latest_with_copies(candidates, ["_key", "_reject"], ["_version", "_ingested_at"])
+    typed = standardize(latest, entity, carry=[dq.FAILED_RULES, COPIES])
+    failed = F.col(dq.FAILED_RULES) != ""
+    if entity.reference is None:
+        judged = typed.withColumn(OUTCOME, F.when(failed, RULE_FAILED).otherwise(VALID))
+    else:
+        judged = check_reference(typed, parents, entity.reference)
+        judged = judged.withColumn(OUTCOME, F.when(failed, RULE_FAILED).when(F.col(KNOWN), VALID).otherwise(ORPHAN)).drop(KNOWN)
+    names = F.when(F.col(OUTCOME) == ORPHAN, CUSTOMER_EXISTS).when(failed, F.col(dq.FAILED_RULES))
+    return judged.withColumns({dq.FAILED_RULES: names, **entity.derived})
 
 
 def silver(judged: DataFrame, entity: Entity) -> DataFrame:

@@ -36,6 +36,10 @@ def run_incremental(
 ) -> list[dict]:
     """Land what is new in the three folders and bring silver, quarantine and gold up to date.
 
+    Entities without new rows are not refined again (unless they refer to customers that changed), nor are marts made
+    of such entities alone: a run that finds nothing writes its log only. A touched entity is refined from all its
+    landed rows.
+
     ``checkpoints`` must be a durable shared folder. A store is fed either by this function or by ``run_batch``: a
     batch overwrite of bronze would contradict what the checkpoints remember.
     """
@@ -43,11 +47,13 @@ def run_incremental(
     warn_without_skew_handling(store.spark)
     batch_id = batch_id or uuid.uuid4().hex
     declared = declared or default_entities()
-    log, rows_in = [], {}
+    log, rows_in, changed = [], {}, set()
     for source, (fmt, name) in SOURCES.items():
         new = land_new_files(store, folders[source], declared[name], fmt, batch_id, checkpoints)
         log.append(runlog.entry(batch_id, "bronze", name, new, new))
+        if new:
+            changed.add(name)
         rows_in[name] = count_landed(store, name)
-    log += refine_and_model(store, declared, batch_id, rows_in)
+    log += refine_and_model(store, declared, batch_id, rows_in, changed)
     runlog.append(store, log)
     return log

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -109,11 +110,15 @@ def test_incremental_lands_each_file_once(spark, tmp_path):
     store = Store(spark, Settings(root=f"{tmp_path}/lake"))
     run = lambda name: {(e["stage"], e["table"]): e for e in run_incremental(store, paths, f"{tmp_path}/seen", name)}
     assert run("one")["bronze", "invoices"]["rows_in"] == 13
-    assert run("two")["bronze", "invoices"]["rows_in"] == 0
+    written = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/lake/[sgq]*/**", recursive=True)}
+    before, again = written(), run("two")
+    assert again["bronze", "invoices"]["rows_in"] == 0
+    assert {stage for stage, _ in again} == {"bronze"} and written() == before  # silver, stage, gold, quarantine
     newer = {**dirty.INVOICES[0], "invoice_id": "B-NEW", "amount": "5.00"}
     with open(f"{paths['billing']}/more.jsonl", "w") as out:
         out.write(json.dumps(newer) + "\n")
     log = run("three")
+    assert ("silver", "tickets") not in log and ("gold", "ticket_summary") not in log and ("gold", "customer_360") in log
     assert log["bronze", "invoices"]["rows_in"] == 1
     assert log["silver", "invoices"]["rows_out"] == 6
     assert store.read("bronze", "invoices").count() == 14
@@ -202,3 +207,14 @@ def test_rules_on_plain_columns_reach_the_scan(spark, tmp_path):
     kept = rules.keep_valid(spark.read.parquet(f"{tmp_path}/t"), {"big": "id > 5", "even": "id % 2 = 0"})
     assert "GreaterThan(id,5)" in kept._jdf.queryExecution().executedPlan().toString()
     assert values(kept, "id") == [(6,), (8,)]
+
+
+def test_one_scan_judges_rejects_and_the_rest(spark, tmp_path):
+    paths = dirty.write_extracts(f"{tmp_path}/raw")
+    landed = land.read_strings(spark, paths["crm"], entities.CUSTOMER_COLUMNS, "csv", "b")
+    landed.unionByName(landed).write.parquet(f"{tmp_path}/bronze")
+    judged = refine.clean(spark.read.parquet(f"{tmp_path}/bronze"), entities.customers())
+    assert judged._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    # A reject that is delivered twice is two rejects; a valid row is kept once.
+    assert values(judged.groupBy("_outcome").agg(F.count("*").alias("n"), F.sum("_copies").alias("copies")), "_outcome", "n", "copies") == [
+        ("rule_failed", 8, 8), ("valid", 4, 12)]

@@ -199,7 +199,7 @@ def test_items_without_steps_and_with_failed_steps(spark):
 def test_composed_texts(spark):
     asked = spark.createDataFrame([(i, i) for i in "abcdef"], "id string, question string")
     steps = spark.createDataFrame([
-        ("a", 1, "run_sql", '{"rows": [{"region": "NA", "usd": 123456789.5, "n": null}], "row_count": 1}'),
+        ("a", 1, "run_sql", '{"rows": [{"region": "NA", "usd": 123456789.1234567, "n": null}], "row_count": 1}'),
         ("a", 2, "search_documents", '{"results": [{"doc_id": "d", "text": "T\\n\\nbody\\n\\nmore"}]}'),
         ("b", 1, "search_documents", '{"results": []}'),
         ("c", 1, "run_sql", '{"error": "Boom: 1"}'),
@@ -207,7 +207,7 @@ def test_composed_texts(spark):
         ("e", 1, "search_documents", '{"results": [{"doc_id": "d", "text": "no title"}]}'),
     ], STEPS)
     assert {r.id: r.answer for r in questions.compose(asked, steps).collect()} == {
-        "a": "region = NA; usd = 123456789.5; n = None body\n\nmore [source: d]",
+        "a": "region = NA; usd = 123456789.1234567; n = None body\n\nmore [source: d]",
         "b": "No matching documents were found.",
         "c": "I could not complete a step: Boom: 1",
         "d": "I do not have enough information to answer.",
