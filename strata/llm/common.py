@@ -77,15 +77,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``bound`` labelled ids that are not held out, chosen by hash.
+#: Longer texts are not learnt from, so that the sample's size is bounded as well as its number of rows.
+SAMPLE_CHARS = 50_000
 
-    Rows with a null id, text or label are left out. A repeated label row counts once with its largest label; repeated
-    rows of a document are reduced to one text by the caller's aggregation.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, columns: tuple[str, ...] = (), most_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(doc_id, text, further columns, label) of at most ``bound`` labelled ids that are not held out, chosen by hash.
+
+    Rows with a null id, text or label and texts of over ``most_chars`` characters are left out. A repeated label row
+    counts once with its largest label; repeated rows of a document are reduced to one by the caller's aggregation.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    return docs.select("doc_id", "text", *columns).where(F.length("text") <= most_chars).join(F.broadcast(ids), "doc_id")

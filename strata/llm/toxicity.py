@@ -231,9 +231,9 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Net:
     """A model from at most ``sample`` labelled documents that are not held out."""
-    both = F.struct(F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    rows = labelled_sample(docs.withColumn("text", F.when(F.col("text").isNotNull(), both)), labels, label, sample)
-    found = rows.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("row")).select("doc_id", "row.text.text", "row.text.lang", "row.label").collect()
+    rows = labelled_sample(docs, labels, label, sample, ("lang",))
+    first = F.min(F.struct("text", F.coalesce("lang", F.lit("")).alias("lang"), "label")).alias("row")
+    found = rows.groupBy("doc_id").agg(first).select("doc_id", "row.*").collect()
     found.sort(key=lambda r: r.doc_id)
     return train_net([WORD.findall(r.text.lower()) for r in found], np.array([int(r.label > 0) for r in found], np.int64), [r.lang for r in found])
 
