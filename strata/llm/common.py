@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from strata.session import scratch_dir
 
 #: Bytes of text that a task takes apart at a time; a longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +40,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str]]:
         yield some
 
 
-def per_text(kind: str | T.DataType, make: Callable[[], Callable[[list[str]], list[pa.Array]]]):
+def per_text(kind: str | T.DataType, make: Callable[[], Callable[[list[str]], list[pa.Array]]], limit: int = SLICE_BYTES):
     """A column function over text: ``make`` runs once in a task and gives the function of a slice of texts.
 
     That function returns the fields of the result struct as arrays. Spark evaluates the column once for each row.
@@ -51,7 +51,7 @@ def per_text(kind: str | T.DataType, make: Callable[[], Callable[[list[str]], li
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for texts in batches:
-            parts = [pa.StructArray.from_arrays(work(some), names=names) for some in slices(texts)]
+            parts = [pa.StructArray.from_arrays(work(some), names=names) for some in slices(texts, limit)]
             yield pa.chunked_array(parts).combine_chunks() if len(parts) > 1 else parts[0] if parts else _none(kind)
 
     # The annotations are read by Spark at run time, so they cannot stay strings.

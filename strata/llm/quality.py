@@ -27,7 +27,9 @@ TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+|\n")
 #: Labelled documents that training reads at most.
 SAMPLE = 6000
 THRESHOLD = 0.7
-_KEPT_TOKENS = 200_000
+_KEPT_TOKENS = 100_000
+#: A text takes some 60 times its size while its n-grams are hashed.
+_SLICE = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     """A model from at most ``sample`` labelled documents that are not held out."""
     chosen = labelled_sample(docs, labels, label, sample).withColumn("h", F.xxhash64("text"))
     found = (
-        chosen.withColumn("f", per_text("grams binary, share binary", _counted)("text"))
+        chosen.withColumn("f", per_text("grams binary, share binary", _counted, _SLICE)("text"))
         .groupBy("doc_id").agg(F.min(F.struct("h", "label", "f")).alias("row"))
         .select("row.label", "row.f.grams", "row.f.share", "doc_id").collect()
     )
@@ -158,7 +160,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str
         tokens = _Tokens()
         return lambda texts: [pa.array(shared.value.score(texts, tokens), pa.float64())]
 
-    scored = with_fields(docs, per_text("score double", make)(F.col(text)), ["score"])
+    scored = with_fields(docs, per_text("score double", make, _SLICE)(F.col(text)), ["score"])
     return scored.drop("predicted").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
