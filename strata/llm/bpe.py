@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import per_text, with_fields
 
 #: White space as the tokenizer's expressions see it.
-_SPACE = r"\t\n\v\f\r \x85\xa0  -     　"
+_SPACE = r"\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _KEPT_WORDS = 200_000
 _RESULT = "ids array<int>, n_tokens long, ids_sha256 string"
 
