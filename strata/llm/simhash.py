@@ -245,7 +245,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distan
 
     Of rows that agree in both, the first by all columns stays.
     """
-    rows = grouped(docs, doc_id, text, distance).groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    return keep_first(docs, grouped(docs, doc_id, text, distance), doc_id, text)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with the first row of each group; ``groups`` has doc_id, text_hash and root for every row."""
+    rows = groups.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n"))
     leaders = written(rows.groupBy("root").agg(first.alias("l")).select(F.col("l.doc_id").alias("_id"), F.col("l.text_hash").alias("_hash"), F.col("l.n").alias("_n")), "leaders")
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
