@@ -190,8 +190,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.withColumn("decoded", F.arrow_udf(run, "string").asNondeterministic()(F.col(ids)))
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256 and decoded_sha256; ids and decoded text stay within the task."""
+def round_trip(docs: DataFrame, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256; the decoded text, and ids unless asked for, stay within the task."""
     shared = _loaded(docs.sparkSession, path)
 
     def make():
@@ -200,7 +200,9 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
         def work(texts):
             found = encoder(texts)
+            ids = [pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32()))] if with_ids else []
             return [
+                *ids,
                 pa.array([len(f) for f in found], pa.int64()),
                 pa.array([hashlib.sha256(f.astype("<u4").tobytes()).hexdigest() for f in found]),
                 pa.array([hashlib.sha256(vocabulary.decode(f).encode()).hexdigest() for f in found]),
@@ -208,8 +210,8 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
         return work
 
-    fields = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    return with_fields(docs, per_text("n_tokens long, ids_sha256 string, decoded_sha256 string", make)(F.col(text)), fields)
+    fields = [*["ids"] * with_ids, "n_tokens", "ids_sha256", "decoded_sha256"]
+    return with_fields(docs, per_text(f"{_RESULT if with_ids else 'n_tokens long, ids_sha256 string'}, decoded_sha256 string", make)(F.col(text)), fields)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
