@@ -84,12 +84,14 @@ SAMPLE_CHARS = 50_000
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, columns: tuple[str, ...] = (), most_chars: int = SAMPLE_CHARS) -> DataFrame:
     """(doc_id, text, further columns, label) of at most ``bound`` labelled ids that are not held out, chosen by hash.
 
-    Rows with a null id, text or label and texts of over ``most_chars`` characters are left out. A repeated label row
+    Only ids of documents that can be learnt from are counted, whatever else is labelled. Rows with a null id, text or label and texts of over ``most_chars`` characters are left out. A repeated label row
     counts once with its largest label; repeated rows of a document are reduced to one by the caller's aggregation.
     """
+    usable = docs.select("doc_id", "text", *columns).where(F.length("text") <= most_chars)
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+        .join(usable.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
-    return docs.select("doc_id", "text", *columns).where(F.length("text") <= most_chars).join(F.broadcast(ids), "doc_id")
+    return usable.join(F.broadcast(ids), "doc_id")

@@ -89,6 +89,8 @@ def features(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray,
 class Model:
     weights: np.ndarray
     bias: float
+    #: Number of texts it was trained on.
+    rows: int = 0
 
     def score(self, texts: list[str], tokens: _Tokens) -> np.ndarray:
         grams, of, counts = features(texts, tokens)
@@ -121,7 +123,7 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4,
             zb += error - (np.sqrt(nb + error * error) - np.sqrt(nb)) / alpha * bias
             nb += error * error
             bias = -zb / ((beta + np.sqrt(nb)) / alpha)
-    return Model(weights_at(np.arange(1 << BITS)).astype(np.float32), float(bias))
+    return Model(weights_at(np.arange(1 << BITS)).astype(np.float32), float(bias), len(rows))
 
 
 def _counted():
