@@ -1,4 +1,4 @@
-"""A corpus pipeline: quality, near-duplicates, benchmark passages, secrets, tokens.
+"""A corpus pipeline: quality, SimHash near-duplicates, benchmark passages, secrets, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns
 of ``documents``; ``run`` writes every stage's rows and reads them again for the next.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontam, near_copies, quality, secrets
+from strata.llm import bpe, decontam, quality, secrets, simhash
 from strata.llm.common import table, written
 from strata.llm.queries import WORD_BPE
 
@@ -30,8 +30,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (Jaccard 0.8 on five words): the one with the smallest doc_id."""
-    return near_copies.keep_one(docs).select(*COLUMNS)
+    """One document of each group of near-duplicates: the one with the smallest doc_id.
+
+    Three-word shingles and fingerprints at most two bits apart, as in op8_simhash.
+    """
+    return simhash.keep_one(docs).select(*COLUMNS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +58,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality classifier", keep_good),
-    ("near-duplicates", drop_near_duplicates),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark_passages),
     ("secret scan", mask_secrets),
     ("BPE encoding", encode_tokens),
