@@ -72,6 +72,41 @@ def with_fields(df: DataFrame, struct: Column, fields: list[str]) -> DataFrame:
     return df.withColumn(inner, struct).select(*[F.col(f"`{c}`") for c in kept], *[F.col(inner)[f].alias(f) for f in fields])
 
 
+def free_names(columns: list[str], *stems: str) -> list[str]:
+    """A column name for each stem that none of ``columns`` has, whatever their case."""
+    taken, mark = {c.lower() for c in columns}, "_"
+    while any(f"{mark}{stem}".lower() in taken for stem in stems):
+        mark += "_"
+    return [f"{mark}{stem}" for stem in stems]
+
+
+def ordered(kind: T.DataType) -> bool:
+    """True if values of this type have an order in Spark."""
+    if isinstance(kind, T.StructType):
+        return all(ordered(f.dataType) for f in kind.fields)
+    return ordered(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+#: Keys that ``spread_join`` deals over several tasks: at most so many, of at least so many rows each, in so many shares.
+HOT_KEYS, HOT_ROWS, SALTS = 10_000, 64, 64
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], vary: list[str], how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one``, which has at most one row for each key; no key's rows stay in one task.
+
+    The most frequent keys of ``many`` are dealt by ``vary`` and their rows of ``one`` repeated for each share. The list
+    of those keys is broadcast; its size is fixed, and a key outside it has less than 1 / ``HOT_KEYS`` of all rows.
+    """
+    mark, salt = free_names([*many.columns, *one.columns], "hot", "salt")
+    counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias(mark)).where(F.col(mark) >= HOT_ROWS)
+    hot = written(counts.orderBy(F.col(mark).desc(), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias(mark)), "hot")
+    share = F.when(F.col(mark), F.pmod(F.xxhash64(*vary), F.lit(SALTS)).cast("int")).otherwise(0)
+    dealt = many.join(F.broadcast(hot), keys, "left").withColumn(salt, share).drop(mark)
+    shares = F.when(F.col(mark), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = one.join(F.broadcast(hot), keys, "left").withColumn(salt, F.explode(shares)).drop(mark)
+    return dealt.join(repeated, [*keys, salt], how).drop(salt)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the quarter of rows whose labels no model may see; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

@@ -113,7 +113,70 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4,
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for at in order.permutation(len(rows)):
-            index, value, label = rows[at]
+            index, value, label = rows[at][0], rows[at][1].astype(float), rows[at][2]
+            w = weights_at(index)
+            p = 1 / (1 + np.exp(-np.clip(bias + w @ value, -30, 30)))
+            error = (p - label) * weigh[label]
+            g = error * value
+            z[index] += g - (np.sqrt(n[index] + g * g) - np.sqrt(n[index])) / alpha * w
+            n[index] += g * g
+            zb += error - (np.sqrt(nb + error * error) - np.sqrt(nb)) / alpha * bias
+            nb += error * error
+            bias = -zb / ((beta + np.sqrt(nb)) / alpha)
+    return Model(weights_at(np.arange(1 << BITS)).astype(np.float32), float(bias), len(rows))
+
+
+def _counted():
+    tokens = _Tokens()
+
+    def work(texts):
+        grams, of, counts = features(texts, tokens)
+        out = []
+        ends = np.searchsorted(np.sort(of, kind="stable"), np.arange(len(texts) + 1))
+        grams = grams[np.argsort(of, kind="stable")]
+        for i in range(len(texts)):
+            index, times = np.unique(grams[ends[i]:ends[i + 1]], return_counts=True)
+            out.append((index.astype("<i4").tobytes(), (times / max(counts[i], 1)).astype("<f4").tobytes()))
+        return [pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())]
+
+    return work
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
+    """A model from at most ``sample`` labelled documents that are not held out."""
+    chosen = labelled_sample(docs, labels, label, sample).withColumn("h", F.xxhash64("text"))
+    found = (
+        chosen.withColumn("f", per_text("grams binary, share binary", _counted, _SLICE)("text"))
+        .groupBy("doc_id").agg(F.min(F.struct("h", "label", "f")).alias("row"))
+        .select("doc_id", "row.label", "row.f.grams", "row.f.share").toArrow().sort_by("doc_id").combine_chunks()
+    )
+    # The rows are views of the fetched table, which is the one copy of the sample that the driver holds.
+    grams, shares, marks = (found[c].combine_chunks() for c in ("grams", "share", "label"))
+    return train_ftrl([(np.frombuffer(grams[i].as_buffer(), "<i4"), np.frombuffer(shares[i].as_buffer(), "<f4"), int(marks[i].as_py() > 0)) for i in range(len(marks))])
+
+
+def score(self, texts: list[str], tokens: _Tokens) -> np.ndarray:
+        grams, of, counts = features(texts, tokens)
+        total = np.bincount(of, self.weights[grams], len(texts))
+        return 1 / (1 + np.exp(-np.clip(self.bias + total / np.maximum(counts, 1), -30, 30)))
+
+
+def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, alpha: float = 2.0, beta: float = 1.0,
+               l1: float = 0.02, l2: float = 0.01) -> Model:
+    """Weights from (feature numbers, values, label) rows, one row at a time; both classes weigh the same."""
+    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    ones = sum(label for _, _, label in rows)
+    weigh = {1: len(rows) / (2 * max(ones, 1)), 0: len(rows) / (2 * max(len(rows) - ones, 1))}
+    zb = nb = bias = 0.0
+
+    def weights_at(index):
+        zi = z[index]
+        return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(n[index])) / alpha + l2))
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for at in order.permutation(len(rows)):
+            index, value, label = rows[at][0], rows[at][1].astype(float), rows[at][2]
             w = weights_at(index)
             p = 1 / (1 + np.exp(-np.clip(bias + w @ value, -30, 30)))
             error = (p - label) * weigh[label]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import per_text, written
+from strata.llm.common import free_names, ordered, per_text, written
 from strata.llm.components import components
 
 SEED = 42
@@ -187,13 +187,12 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >= 1 << (BITS - 1) else value
 
 
-def links(distinct: DataFrame, masks: list[int], distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
+def links(distinct: DataFrame, masks: list[int], bucket: int = BUCKET) -> DataFrame:
     """(a, b): links between fingerprints, and between those and single-bit neighbours in large buckets.
 
-    Nodes are (value, real) packed as struct<v long, r int>: r is 0 for a fingerprint, 1 for a neighbour value.
+    Nodes are (value, real) packed as struct<v long, r int>: r is 0 for a fingerprint, 1 for a neighbour value. The
+    neighbour values stand for a distance of two alone, so the distance is no parameter here.
     """
-    if distance != 2:
-        bucket = 1 << 30  # the neighbour values stand for distance two alone; other distances compare all pairs
     keyed = F.explode(F.array(*[F.struct(F.lit(i).alias("probe"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)]))
     keys = distinct.select("fp", keyed.alias("k")).select("fp", "k.probe", "k.key")
     several = keys.groupBy("probe", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -203,11 +202,9 @@ def links(distinct: DataFrame, masks: list[int], distance: int = DISTANCE, bucke
     small = (
         members.where(F.col("n") <= bucket).groupBy("probe", "key").agg(F.collect_list("fp").alias("fps"))
         .select(F.explode("fps").alias("a"), "fps").select("a", F.explode("fps").alias("b"))
-        .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
+        .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE))
         .select(node("a", 0).alias("a"), node("b", 0).alias("b")).distinct()
     )
-    if bucket >= 1 << 30:
-        return small
     # All members of a bucket agree outside the bits that the probe leaves out or does not cover, but a flip anywhere
     # else can meet no other member: flip what the key does not hold, and the fingerprint itself.
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << b))) for b in range(BITS)])
@@ -218,12 +215,12 @@ def links(distinct: DataFrame, masks: list[int], distance: int = DISTANCE, bucke
     return small.unionByName(large)
 
 
-def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_hash, fp, component_id and root (a value shared by the rows of a group alone) for every row."""
     prints = written(fingerprints(docs, doc_id, text), "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     n, both = joint_counts(distinct)
-    roots = components(links(distinct, plan(n, both, distance).masks(), distance))
+    roots = components(links(distinct, plan(n, both).masks()))
     own = F.struct(F.col("fp").alias("v"), F.lit(0).alias("r"))
     nodes = roots.where("node.r = 0").select(F.col("node.v").alias("fp"), "root")
     known = distinct.join(nodes, "fp", "left")
@@ -234,27 +231,33 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distanc
     return prints.join(labels, "fp")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row."""
-    found = grouped(docs, doc_id, text, distance)
+    found = grouped(docs, doc_id, text)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that with the smallest doc_id (a null id is the largest), then text hash.
 
     Of rows that agree in both, the first by all columns stays.
     """
-    return keep_first(docs, grouped(docs, doc_id, text, distance), doc_id, text)
+    return keep_first(docs, grouped(docs, doc_id, text), doc_id, text)
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with the first row of each group; ``groups`` has doc_id, text_hash and root for every row."""
+    """``docs`` with the first row of each group; ``groups`` has doc_id, text_hash and root for every row.
+
+    Columns of ``docs`` may have any name and type; those without an order (maps) are compared by their JSON form.
+    """
     rows = groups.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n"))
-    leaders = written(rows.groupBy("root").agg(first.alias("l")).select(F.col("l.doc_id").alias("_id"), F.col("l.text_hash").alias("_hash"), F.col("l.n").alias("_n")), "leaders")
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    once = docs.join(leaders.where("_n = 1"), same, "left_semi")
-    repeated = docs.join(leaders.where("_n > 1"), same, "left_semi")
-    least = repeated.groupBy(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash")).agg(F.min(F.struct(*[f"`{c}`" for c in docs.columns])).alias("row"))
-    return once.unionByName(least.select("row.*"))
+    own_id, own_hash, own_n, own_row = free_names(docs.columns, "id", "hash", "n", "row")
+    leaders = written(rows.groupBy("root").agg(first.alias("l")).select(F.col("l.doc_id").alias(own_id), F.col("l.text_hash").alias(own_hash), F.col("l.n").alias(own_n)), "leaders")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(own_id)) & (F.xxhash64(f"`{text}`") == F.col(own_hash))
+    once = docs.join(leaders.where(F.col(own_n) == 1), same, "left_semi")
+    repeated = docs.join(leaders.where(F.col(own_n) > 1), same, "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(*[F.col(f"`{f.name}`") if ordered(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema.fields])
+    least = repeated.groupBy(F.col(f"`{doc_id}`").alias(own_id), F.xxhash64(f"`{text}`").alias(own_hash)).agg(F.min_by(whole, order).alias(own_row))
+    return once.unionByName(least.select(f"{own_row}.*"))

@@ -31,7 +31,7 @@ def staged(spark):
 
 
 def test_names_and_order(staged):
-    assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "near-duplicates", "benchmark decontamination", "secret scan", "BPE encoding"]
+    assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "benchmark decontamination", "secret scan", "BPE encoding"]
 
 
 def test_quality(spark, staged):
@@ -54,7 +54,7 @@ def test_near_duplicates(staged):
             if (prints[i] ^ prints[j]).bit_count() <= 2:
                 a, b = root[i], root[j]
                 root = [min(a, b, key=lambda k: rows[k].doc_id) if r in (a, b) else r for r in root]
-    assert {r.doc_id for r in staged["near-duplicates"]} == {rows[k].doc_id for k in set(root)}
+    assert {r.doc_id for r in staged["SimHash near-dedup"]} == {rows[k].doc_id for k in set(root)}
 
 
 def test_benchmark(spark, staged):
@@ -64,7 +64,7 @@ def test_benchmark(spark, staged):
         windows |= {tuple(words[i:i + 10]) for i in range(max(len(words) - 10, 0) + 1 if words else 0)}
     sizes = {len(w) for w in windows}
     wanted = set()
-    for row in staged["near-duplicates"]:
+    for row in staged["SimHash near-dedup"]:
         words = words_of(row.text or "")
         if not any(tuple(words[i:i + n]) in windows for n in sizes for i in range(len(words) - n + 1)):
             wanted.add(row.doc_id)
@@ -104,3 +104,10 @@ def test_keep_one_of_repeated_and_null_rows(spark):
     kept = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
     assert (5, "a b c", "x") in kept and (2, "z z z z", "x") in kept and (5, "other text than that", "x") in kept
     assert len(kept) == 4
+
+
+def test_keep_one_with_clashing_and_unordered_columns(spark):
+    rows = [(1, "a b c", 9, {"k": 2}), (1, "a b c", 9, {"k": 1}), (4, "a b c", 9, {"k": 0}), (6, "w " * 60_000, 1, {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _hash map<string,int>").withColumnRenamed("_hash", "_Hash")
+    kept = sorted(simhash.keep_one(docs).collect(), key=lambda r: r.doc_id)
+    assert [tuple(r) for r in kept] == [rows[1], rows[3]]
