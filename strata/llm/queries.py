@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, quality, secrets, simhash, token_counts, topk, toxicity, url_filter, warc
+from strata.llm import bpe, decontam, prefix_trie, quality, secrets, simhash, token_counts, topk, toxicity, url_filter, warc
 from strata.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -54,6 +54,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -65,10 +69,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_topk": op9_topk,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op2_warc": warc.ORACLE,
     "op3_decontamination": decontam.oracle(),
     "op7_url_filter": url_filter.oracle(),
     "op9_topk": topk.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
