@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, prefix_trie, quality, secrets, simhash, token_counts, topk, toxicity, url_filter, warc
+from strata.llm import bpe, decontam, lexical, prefix_trie, quality, quality_rules, secrets, simhash, token_counts, topk, toxicity, url_filter, warc
 from strata.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,6 +58,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
     "op10_secret_scan": op10_secret_scan,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_quality_rules": op13_quality_rules,
 }
 ORACLE: dict[str, str] = {
     "op2_warc": warc.ORACLE,
@@ -77,4 +87,6 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": url_filter.oracle(),
     "op9_topk": topk.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_lexical_search": lexical.ORACLE,
+    "op13_quality_rules": quality_rules.ORACLE,
 }

@@ -1,0 +1,123 @@
+"""Quality rules: counts and binomial tails against plain Python, and what the chosen cutoffs guarantee."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import quality_rules as qr
+from strata.llm.common import table
+
+SCHEMA = "doc_id long, text string, lang string, source string, w int, l int, stratum int"
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    hit = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for j in range(i, i + 8)}
+    failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit), failed
+
+
+TEXTS = [
+    None, "", " \t\n", "one", "a b c d e f g h", "a b c d e f g h a b c d e f g h", "x " * 40, "\n".join(["same line"] * 3 + ["", " ", "same line "]),
+    "é#*$ %&|<> \U0001F600 x\x1cy \xa0z", " ".join(str(i % 11) for i in range(100)), "\r\n".join(["a", "a", "b"]),
+    " ".join(str(random.Random(3).randrange(9)) for _ in range(400)), "word " * 30_000 + "end " + "w" * 200_000,
+]
+
+
+def test_counts(spark):
+    docs = spark.createDataFrame([(i, t, None, "s", 1, 2, 3) for i, t in enumerate(TEXTS)] * 2, SCHEMA)
+    got = qr.judged(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()
+    assert len(got) == 2 * len(TEXTS)
+    for row in got:
+        assert tuple(row)[1:-1] == plain(TEXTS[row.doc_id]), row.doc_id
+        assert row.kept is (not row.base_failed)
+
+
+@pytest.mark.parametrize("p", [0.01, 0.3])
+def test_binomial_tail(spark, p):
+    cases = [(k, n) for n in (1, 5, 60, 700, 4000) for k in (0, 1, 2, n // 200, n // 4, n) if k <= n]
+    exact = Fraction(p)
+
+    def tail(k, n):
+        return float(sum(math.comb(n, i) * exact**i * (1 - exact) ** (n - i) for i in range(k + 1))) if k < n * p else 1.0
+
+    rows = spark.createDataFrame(cases, "k long, n long").select("k", "n", qr.binomial_tail(F.col("k"), F.col("n"), p).alias("p")).collect()
+    for row in rows:
+        assert row.p == pytest.approx(tail(row.k, row.n), rel=1e-9), (row.k, row.n)
+
+
+def test_tail_beyond_its_terms_is_no_smaller(spark, monkeypatch):
+    exact = spark.range(1).select(qr.binomial_tail(F.lit(250), F.lit(1000), 0.3)).first()[0]
+    monkeypatch.setattr(qr, "TERMS", 10)
+    short = spark.range(1).select(qr.binomial_tail(F.lit(250), F.lit(1000), 0.3)).first()[0]
+    assert exact <= short <= 3 * exact
+
+
+def corpus(spark, n=6000):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice(["house", "Tree", "river", "stone", "cloud", "road"]) + str(rng.randrange(500)) for _ in range(40)]
+        bad = rng.random() < 0.2
+        if bad:
+            words = [w + rng.choice("#%$&") * 2 for w in words] if rng.random() < 0.5 else [w.upper() for w in words]
+        elif rng.random() < 0.05:
+            words[0] += "#" * 4
+        rows.append((i, " ".join(words), "en" if i % 40 else "xx"))
+        labels.append((i, int(not bad)))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels + labels[:50] + [(None, 1), (3, None)], "doc_id long, quality int")
+
+
+def test_guarantee_and_catch(spark):
+    docs, labels = corpus(spark)
+    measured = qr.measures(docs)
+    tests = qr.certified(measured, labels).collect()
+    assert {t.stratum for t in tests} == {"en"}  # the other stratum is too small to certify anything
+    level = qr.DELTA / (2 * len(qr.RULES))
+    assert all(t.p <= level and t.rejected <= t.n * qr.ALPHA / len(qr.RULES) for t in tests)
+    assert Counter(t.rule for t in tests if t.chosen) == Counter({t.rule for t in tests})
+    got = qr.judged(docs, labels).join(labels.dropna().distinct(), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    good = [r for r in got if r.quality and r.lang == "en"]
+    bad = [r for r in got if not r.quality and r.lang == "en"]
+    assert sum(not r.kept for r in good) <= qr.ALPHA * len(good)
+    assert sum(r.kept for r in bad) == 0
+    assert all(r.kept for r in got if r.lang == "xx")
+
+
+def test_useless_rules_reject_nothing_unproved(spark):
+    """Labels without relation to the texts: the bound on good documents still holds."""
+    docs, _ = corpus(spark)
+    labels = docs.select("doc_id", F.when(F.crc32(F.concat(F.lit("z"), "doc_id")) % 2 == 0, 1).otherwise(0).alias("quality"))
+    got = qr.judged(docs, labels).join(labels, "doc_id").where("quality = 1").collect()
+    assert sum(not r.kept for r in got) <= qr.ALPHA * len(got)
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert qr.judged(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect() == []
+
+
+def test_held_out_documents(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    got = qr.judged(docs, labels).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2).collect()
+    good, bad = [r for r in got if r.quality], [r for r in got if not r.quality]
+    assert sum(not r.kept and not r.base_failed for r in good) <= qr.ALPHA * len(good)
+    assert sum(not r.kept for r in bad) >= 0.8 * len(bad)
+
+
+def test_no_python_in_the_plan(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    measured = qr.measures(docs)
+    for df in (measured, qr.certified(measured, labels), qr.judged(docs, labels)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
