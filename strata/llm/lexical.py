@@ -254,15 +254,15 @@ ORACLE = rf"""
 with texts as (select row_number() over () as k, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
 split as (select k, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from texts where text is not null),
 sizes as (select k, doc_id, ts, cast(len(ts) as bigint) as n from split where len(ts) > 0),
-total as (select count(*) as N, cast(sum(n) as bigint) as L from sizes),
+total as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from sizes),
 asked as (
   select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark where text is not null),
 tfs as (select k, term, count(*) as tf from (select k, unnest(ts) as term from sizes) where term in (select term from asked) group by 1, 2),
-weights as (select term, cast(floor(1000 * ln((2 * total.N + 2) / (2 * df + 1))) as bigint) as w
+weights as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as w
             from (select term, count(*) as df from tfs group by term), total),
 added as (
-  select item_id, k, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * total.N) // L))) as points
+  select item_id, k, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) as points
   from asked join tfs using (term) join weights using (term) join sizes using (k), total),
 scored as (select item_id, k, doc_id, cast(sum(points) as bigint) as score from added group by 1, 2, 3 having sum(points) > 0),
 placed as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank from scored)
