@@ -115,7 +115,8 @@ def test_bpe_documents(spark, library):
 
 
 URLS = [
-    None, "", "no scheme", "http://", "HTTP://A.Net/x", "http://net/", "http://net", "http://a.net?x=/y", "http://aNET/", "http://x.example.net/en/1", "http://example.net/EN/",
+    None, "", "no scheme", "//porn.example.org/", "casino-win.example.org/x", "http://a/c%61sin%6F", "http://a/c%2561sino", "http://a/%63%41sino%", "http://a/win-win-deal",
+    "http://a/free-deal-prize", "http://a/poker?bet", "http://a/poker-deal", "http://a/%zz%7b%41dult%2Dbet", "http://", "HTTP://A.Net/x", "http://net/", "http://net", "http://a.net?x=/y", "http://aNET/", "http://x.example.net/en/1", "http://example.net/EN/",
     "http://example.com/de/", "http://b.example.com/de", "http://u.org/fr/a#b", "http://org/fr/", "http://a.net:80/", "http://free-bets.example.com/a", "http://free.example.com/free",
     "http://ok.example.com/en/Casino-x", "http://ok.example.com/casinos", "http://a.b/?q=porn", "http://a/#cheap-win", "http://é.net/é", "a://b://c.net/x", "http://x.net\n/y", "ftp://" + "a." * 5000 + "net/" + "p/" * 5000,
 ]
@@ -124,12 +125,14 @@ URLS = [
 def plain_url(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)(.*)", url or "")
     host, path = (m.group(1).translate(LOWER), m.group(2)) if m else ("", "")
-    rest = "".join(m.groups()).translate(LOWER) if m else ""
+    rest = "".join(m.groups()) if m else url or ""
+    rest = re.sub("%[0-9A-Fa-f]{2}", lambda e: c if (c := chr(int(e[0][1:], 16))).isascii() and c.isalnum() else e[0], rest).translate(LOWER)
     fits = [r for r in url_filter.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     rule = max(fits, key=lambda r: len(r.name), default=None)
     count = lambda terms: sum(re.search(f"(?<![a-z0-9]){t}(?![a-z0-9])", rest) is not None for t in terms)
     strict, soft = count(url_filter.STRICT), count(url_filter.SOFT_TERMS)
-    return host, path, rule and rule.name, rule.verdict if rule else "block" if strict or soft >= 2 else "allow", strict, soft
+    weight = sum(w * count([t]) for t, w in url_filter.SOFT_TERMS.items())
+    return host, path, rule and rule.name, rule.verdict if rule else "block" if strict or weight >= 3 else "allow", strict, soft
 
 
 def test_urls(spark):
@@ -142,7 +145,14 @@ def test_urls(spark):
 
 def test_longest_rule_and_block_before_allow():
     rules = [url_filter.Rule("allow", "a.b", "/"), url_filter.Rule("block", "a.b", "/"), url_filter.Rule("allow", "b", "/long/path/")]
-    judge = url_filter.Judge(rules, (), (), 2)
+    judge = url_filter.Judge(rules, (), {}, 2)
     assert judge("http://x.a.b/long/path/1")[2:4] == ("b/long/path/", "allow")
     assert judge("http://x.a.b/")[2:4] == ("a.b/", "block")
     assert judge("http://c/")[3] == "allow"
+
+
+def test_a_vocabulary_of_thousands():
+    strict, soft = [f"strict{i}" for i in range(5000)], {f"soft{i}": 1 + i % 3 for i in range(5000)}
+    judge = url_filter.Judge((), strict, soft, 4)
+    assert judge("http://a/strict4999")[3:] == ("block", 1, 0) and judge("http://a/strict49990")[3:] == ("allow", 0, 0)
+    assert judge("http://a/soft2-soft5")[3:] == ("block", 0, 2) and judge("http://a/soft0-soft3-soft6")[3:] == ("allow", 0, 3)
