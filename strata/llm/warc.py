@@ -41,8 +41,8 @@ MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 512 << 20
 SPLIT_BYTES = 32 << 20
 STEP = 1 << 16
-#: Decompressed bytes in which a record's header lines must end.
-HEADER_BYTES = 1 << 20
+#: Tasks that read ranges, at most; beyond it a task takes several.
+MOST_TASKS = 20_000
 DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FILES = "path string, size long, records long"
@@ -182,7 +182,10 @@ def _fields(head: bytes) -> dict[str, str] | None:
 
 
 def _header(window: _Window, at: int) -> bool:
-    """True if a member at this place begins with the header lines of a record."""
+    """True if a member at this place begins with the header lines of a record, however long they are.
+
+    A member that begins like a record but has no whole header is an error, as its record would be lost.
+    """
     limit = 16
     while (found := _member(window, at, limit)) is not None:
         start, _ = found
@@ -191,10 +194,14 @@ def _header(window: _Window, at: int) -> bool:
         if b"\r\n\r\n" in start:
             fields = _fields(start.split(b"\r\n\r\n", 1)[0])
             return bool(fields) and "warc-type" in fields and fields.get("content-length", "").isdigit()
-        if len(start) < limit or limit > HEADER_BYTES:
-            return False
+        if len(start) < limit:
+            if len(start) < len(b"WARC/1."):
+                return False
+            break
         limit = max(limit * 8, len(start) + 1)
-    return False
+    if limit == 16 and found is None:
+        return False
+    raise ValueError(f"the record at byte {at} is cut off or damaged")
 
 
 def records_in(file, start: int, stop: int, size: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -257,7 +264,9 @@ def read_warc(files: DataFrame, payload: bool = True, split_bytes: int = SPLIT_B
                     yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
 
     ranges = files.where("size > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start"), "size")
-    spread = ranges.repartition(F.xxhash64("path", "start") % 1000003)
+    # Counted, as adaptive execution would merge the few bytes of a listing into one task.
+    count = files.where("size > 0").agg(F.sum(F.ceil(F.col("size") / split_bytes))).first()[0] or 1
+    spread = ranges.repartition(min(int(count), MOST_TASKS))
     return spread.select("path", "start", "size").mapInArrow(read, _RECORDS)
 
 

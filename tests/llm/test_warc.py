@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,21 @@ def test_cut_file_is_an_error():
 
 def test_empty(spark, pages):
     assert warc.archived(pages.where(F.lit(False))).count() == 0
+
+
+def test_ranges_are_read_by_as_many_tasks(spark):
+    files = spark.createDataFrame([(f"file:///none/{i}", 40 * warc.SPLIT_BYTES) for i in range(100)], "path string, size long")
+    assert warc.read_warc(files).rdd.getNumPartitions() == 4000
+
+
+def test_a_header_of_any_length_is_read(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/" + "x" * (12 << 20), "body"), (2, "http://b/", "other")], "page_id long, url string, html string")
+    got = warc.read_warc(warc.write_warc(pages, str(tmp_path))).select("page_id", F.length("url").alias("n"), "payload").collect()
+    assert sorted((r.page_id, r.n, bytes(r.payload)) for r in got) == [(1, 9 + (12 << 20), b"body"), (2, 9, b"other")]
+
+
+def test_a_record_without_a_whole_header_is_an_error():
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    data = packer.compress(b"WARC/1.1\r\nWARC-Type: response\r\nX: " + b"y" * 5000) + packer.flush()
+    with pytest.raises(ValueError, match="cut off or damaged"):
+        list(warc.records_in(io.BytesIO(data), 0, len(data), len(data)))
