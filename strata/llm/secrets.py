@@ -4,19 +4,22 @@
 digits). Matches are leftmost and do not overlap within a kind; a match that is too short is dropped after it has used
 up its text. Offsets are code points: the lengths of what lies between the matches and of the matches, added up.
 
-**Random strings.** Unbroken strings of ``MIN_LENGTH`` and more base64 characters that hold a digit and a letter are
-tested. Their characters say which encoding they can be (hex, upper-case hex, base32, else base64). Three statistics
+**Random strings.** Unbroken strings of ``MIN_LENGTH`` and more base64 characters that hold a letter and a digit, or
+letters of both cases, are tested. Their characters say which encoding they can be (hex, upper-case hex, base32, letters,
+else base64). Three statistics
 are compared with what a string drawn at random from that alphabet gives: chi-squared uniformity of the characters, the
 number of runs above and below the middle of the alphabet, and serial correlation. Fisher's method combines the three
 p-values. For a random string the result is uniform; for words, names and paths it is close to zero.
 
-**False discoveries.** Over all strings of the corpus, by encoding and length band, strings with p beyond ``LAMBDA``
-show how many random ones there are. The cut is the smallest p from which on at most ``FDR`` of the strings are in
-excess of that number, so bands in which short ordinary strings look random get a stricter cut. Counts are kept in a
-fixed number of bins. What overlaps a base span is not added.
+**False discoveries.** Over all strings of the corpus, by encoding and length band: the p-values of random strings are
+spread evenly, those of ordinary ones thin out towards one. The density of random strings is read off beyond the first of
+the points ``FLAT`` from which on the p-values pass a chi-squared test of evenness. The cut is the smallest p from which on
+at most ``FDR`` of the strings are in excess of that density, so bands in which short ordinary strings look random get a
+stricter cut, and a band whose p-values are even nowhere, or whose even part is empty, accepts nothing. Counts are kept
+in a fixed number of bins. What overlaps a base span is not added.
 
 Null and empty texts have no spans. Rows are scanned one by one, so repeated rows and ids give repeated results. Very
-long texts with very many matches are handled in linear time and whole. An empty table gives an empty table.
+long texts with very many matches are handled whole. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import free_names
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -32,13 +36,15 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_LENGTH = 20
 STRING = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 FDR = 0.05
-LAMBDA = 0.2
 BINS = 200
+#: Points beyond which p-values may be even, and the 0.999 quantile of chi-squared for the tenths from there to one.
+FLAT = ((0.2, 24.32), (0.4, 20.52), (0.6, 16.27))
 BANDS = (24, 32, 48, 64, 128)
 _ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 _BLOCK = 256
@@ -80,12 +86,13 @@ def _upper_tail(z: Column) -> Column:
 
 
 def _strings(text: Column) -> Column:
-    """Strings that hold a digit and a letter, with encoding and length: array of structs."""
-    found = F.filter(matches(text, STRING), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]"))
+    """Strings that hold a letter and a digit or letters of both cases, with encoding and length: array of structs."""
+    mixed = lambda s: (s.rlike("[0-9]") & s.rlike("[A-Za-z]")) | (s.rlike("[a-z]") & s.rlike("[A-Z]"))
+    found = F.filter(matches(text, STRING), lambda m: mixed(m["hit"]))
 
     def described(m):
         body = F.translate(F.rtrim(m["hit"], F.lit("=")), "-_", "+/")
-        code = F.when(body.rlike("^[0-9a-f]+$"), "hex").when(body.rlike("^[0-9A-F]+$"), "HEX").when(body.rlike("^[A-Z2-7]+$"), "base32").otherwise("base64")
+        code = F.when(body.rlike("^[0-9a-f]+$"), "hex").when(body.rlike("^[0-9A-F]+$"), "HEX").when(body.rlike("^[A-Z2-7]+$"), "base32").when(body.rlike("^[A-Za-z]+$"), "letters").otherwise("base64")
         return F.struct(m["start"].alias("start"), m["stop"].alias("stop"), body.alias("body"), code.alias("code"), F.length(body).alias("n"))
 
     return F.transform(found, described)
@@ -165,14 +172,26 @@ def cuts(docs: DataFrame, text: str = "text", rate: float = FDR) -> dict[tuple[s
     return {key: cut for key, bins in by.items() if (cut := _cut(bins, rate)) is not None}
 
 
+def _density(bins: list[int]) -> float | None:
+    """Random strings in a bin: the mean beyond the first point from which on the bins are even; None if there is none."""
+    tenth = BINS // 10
+    for point, most in FLAT:
+        cells = [sum(bins[at:at + tenth]) for at in range(round(point * BINS), BINS, tenth)]
+        mean = sum(cells) / len(cells)
+        if not mean or sum((n - mean) ** 2 for n in cells) / mean <= most:
+            return mean / tenth
+    return None
+
+
 def _cut(bins: list[int], rate: float) -> int | None:
     """The smallest bin (never the first) from which on at most ``rate`` of the strings exceed the random ones."""
-    edge = round(LAMBDA * BINS)
-    random = sum(bins[edge:]) / (1 - LAMBDA)
+    density = _density(bins)
+    if not density:
+        return None
     best, total = None, 0
     for at in range(BINS - 1, 0, -1):
         total += bins[at]
-        if total and 1 - random * (1 - at / BINS) / total <= rate:
+        if total and 1 - density * (BINS - at) / total <= rate:
             best = at
     return best
 
@@ -193,12 +212,12 @@ def scan(docs: DataFrame, accepted: dict[tuple[str, int], int], text: str = "tex
 
     allowed = F.create_map(*[x for (code, band), cut in accepted.items() for x in (F.lit(f"{code}{band}"), F.lit(cut))]) if accepted else F.create_map().cast("map<string,int>")
     kept = [c for c in docs.columns if c.lower() not in FIELDS]
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], F.struct(assign.alias("a"), access.alias("k"), hexes.alias("h"), _candidates(whole).alias("c")).alias("_hits"))
-    base = F.array_sort(F.concat(F.transform("_hits.a", of(0)), F.transform("_hits.k", of(1)), F.transform("_hits.h", of(2))))
-    out = out.withColumn("_base", base)
-    random = F.filter("_hits.c", lambda s: (s["bin"] >= F.coalesce(F.try_element_at(allowed, F.concat(s["code"], s["band"].cast("string"))), F.lit(BINS)))
-                      & ~F.exists("_base", lambda b: (b["start"] < s["stop"]) & (b["stop"] > s["start"])))
-    out = out.withColumn("_all", F.array_sort(F.concat("_base", F.transform(random, of(3)))))
+    hits, base, every = free_names(docs.columns, "hits", "base", "all")
+    out = docs.select(*[F.col(f"`{c}`") for c in kept], F.struct(assign.alias("a"), access.alias("k"), hexes.alias("h"), _candidates(whole).alias("c")).alias(hits))
+    out = out.withColumn(base, F.array_sort(F.concat(F.transform(f"{hits}.a", of(0)), F.transform(f"{hits}.k", of(1)), F.transform(f"{hits}.h", of(2)))))
+    random = F.filter(f"{hits}.c", lambda s: (s["bin"] >= F.coalesce(F.try_element_at(allowed, F.concat(s["code"], s["band"].cast("string"))), F.lit(BINS)))
+                      & ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (b["stop"] > s["start"])))
+    out = out.withColumn(every, F.array_sort(F.concat(base, F.transform(random, of(3)))))
     names = F.array(*map(F.lit, KINDS))
 
     def joined(spans):
@@ -206,8 +225,8 @@ def scan(docs: DataFrame, accepted: dict[tuple[str, int], int], text: str = "tex
 
     return out.select(
         *[F.col(f"`{c}`") for c in kept],
-        *[F.size(f"_hits.{c}").cast("long").alias(name) for c, name in zip("akh", FIELDS)],
-        F.sha2(joined("_base"), 256).alias("base_sha256"), joined("_all").alias("spans"), F.col("_all").alias("found"),
+        *[F.size(f"{hits}.{c}").cast("long").alias(name) for c, name in zip("akh", FIELDS)],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(every).alias("spans"), F.col(every).alias("found"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 
@@ -73,6 +74,70 @@ def test_random_strings(spark, planted):
     assert [w for i, w in enumerate(words) if "random" in spans[i]] == []
 
 
+def plain_p(body, alphabet):
+    """The combined p-value by plain arithmetic."""
+    n, k = len(body), len(alphabet)
+    v = [alphabet.index(c) for c in body]
+    chi = sum((v.count(i) - n / k) ** 2 / (n / k) for i in range(k))
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = [x >= k / 2 for x in v]
+    above, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    expected = 1 + 2 * above * (n - above) / n
+    z_runs = (runs - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1)) if 0 < above < n else 12
+    mean = sum(v) / n
+    spread = sum((x - mean) ** 2 for x in v)
+    serial = (sum((a - mean) * (b - mean) for a, b in zip(v, v[1:])) / spread + 1 / n) * math.sqrt(n) if spread else 12
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    logs = -sum(math.log(max(p, 1e-15)) for p in (tail(z_chi), 2 * tail(abs(z_runs)), 2 * tail(abs(serial))))
+    return math.exp(-logs) * (1 + logs + logs * logs / 2)
+
+
+def test_battery_against_plain_arithmetic(spark):
+    rng, bodies = random.Random(12), []
+    for code, alphabet in secrets._ALPHABETS.items():
+        for n in (20, 33, 64, 200):
+            bodies += [(code, "".join(rng.choice(alphabet) for _ in range(n))) for _ in range(4)]
+            bodies.append((code, "".join(rng.choice(alphabet[:5] + alphabet[-3:]) for _ in range(n))))
+    docs = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(bodies)], "doc_id long, text string")
+    rows = docs.select("doc_id", F.explode(secrets._candidates(F.col("text"))).alias("s")).select("doc_id", "s.*").collect()
+    assert len(rows) > 90
+    for row in rows:
+        body = bodies[row.doc_id][1]
+        p = plain_p(body, secrets._ALPHABETS[row.code])
+        assert abs(row.bin - min(int(p * secrets.BINS), secrets.BINS - 1)) <= 1, (row.code, body, p)
+
+
+def bins_of(rng, draw, n):
+    bins = [0] * secrets.BINS
+    for _ in range(n):
+        bins[min(int(draw(rng) * secrets.BINS), secrets.BINS - 1)] += 1
+    return bins
+
+
+def test_cut_can_refuse_any_p():
+    rng = random.Random(2)
+    assert secrets._cut(bins_of(rng, lambda r: r.uniform(0.2, 0.5), 6000), 0.05) is None
+    assert secrets._cut(bins_of(rng, lambda r: 1 - r.random() ** 0.5, 6000), 0.05) is None
+    even = bins_of(rng, lambda r: r.random(), 6000)
+    assert secrets._cut(even, 0.05) < 0.1 * secrets.BINS
+    mixed = [a + b for a, b in zip(even, bins_of(rng, lambda r: r.uniform(0, 0.35), 4000))]
+    cut = secrets._cut(mixed, 0.05)
+    assert 0.3 * secrets.BINS <= cut <= 0.4 * secrets.BINS
+    wrong = sum(mixed[cut:]) - sum(even[cut:])
+    assert wrong <= 0.06 * sum(mixed[cut:])
+
+
+def test_random_letters_are_found_and_words_are_not(spark):
+    rng = random.Random(3)
+    letters = secrets._ALPHABETS["letters"]
+    planted = ["".join(rng.choice(letters) for _ in range(30)) for _ in range(150)]
+    words = ["Einlichkeitverkeitachtenundver" + w for w in ("heit", "keit", "ung")] * 20
+    docs = spark.createDataFrame([(i, f"a {w} b") for i, w in enumerate(planted + words)], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.judged(docs).collect()}
+    assert sum("random" in spans[i] for i in range(150)) >= 130
+    assert not any("random" in spans[i] for i in range(150, 210))
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a token=abcdefg b " + "0a" * 20 + " c"), (2, "clean"), (3, None), (4, "token=" + "0a" * 20)], "doc_id long, text string")
     texts = {r.doc_id: r.text for r in secrets.redacted(secrets.scan(docs, {})).collect()}
@@ -80,7 +145,8 @@ def test_redaction(spark):
 
 
 def test_clashing_columns_and_empty(spark):
-    docs = spark.createDataFrame([(1, "token=abcdefg", 5, "keep")], "doc_id long, text string, spans int, other string")
+    docs = spark.createDataFrame([(1, "token=abcdefg", 5, "keep", "also")], "doc_id long, text string, spans int, _base string, _Hits string")
     out = secrets.scan(docs, {})
-    assert out.columns == ["doc_id", "text", "other", *secrets.FIELDS]
+    assert out.columns == ["doc_id", "text", "_base", "_Hits", *secrets.FIELDS]
+    assert out.select("_base", "_Hits", "n_assign").first() == ("keep", "also", 1)
     assert secrets.judged(docs.where(F.lit(False))).count() == 0
