@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strata.llm.common import with_fields, written
+from strata.llm.common import free_names, with_fields, written
 
 WINDOW = 10
 #: Bytes of item text in one automaton (some 40 times as much memory with overlapping windows).
@@ -121,14 +121,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     and spans ((start, end) code points of the hit passages in the original text)."""
     spark, kept = docs.sparkSession, docs.columns
     nothing = F.struct(F.array().cast(_SPANS).alias("hits"), F.array().cast("array<string>").alias("items"))
-    out = docs.withColumn("_so_far", nothing)
+    so_far, = free_names(docs.columns, "so_far")
+    out = docs.withColumn(so_far, nothing)
     for turn, block in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
         if turn:
             out = written(out, "decontam")
         scan = _scanner(spark.sparkContext.broadcast(block), window)
-        found = scan(F.struct(F.col(text).alias("text"), F.col("_so_far.hits").alias("hits"), F.col("_so_far.items").alias("items")))
-        out = out.withColumn("_so_far", found)
-    return with_fields(out, F.col("_so_far"), FIELDS).select(*[f"`{c}`" for c in kept if c.lower() not in FIELDS], *FIELDS)
+        found = scan(F.struct(F.col(text).alias("text"), F.col(f"{so_far}.hits").alias("hits"), F.col(f"{so_far}.items").alias("items")))
+        out = out.withColumn(so_far, found)
+    return with_fields(out, F.col(so_far), FIELDS).select(*[f"`{c}`" for c in kept if c.lower() not in FIELDS], *FIELDS)
 
 
 def _scanner(block: Broadcast, window: int):
