@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 
@@ -49,30 +49,13 @@ def refine_entity(store: Store, entity: Entity, batch_id: str, rows_in: int) ->
     return runlog.entry(batch_id, "silver", entity.name, rows_in, seen["rows_out"], quarantined)
 
 
-#: What each mart is made of.
-MART_INPUTS = {
-    "customer_360": ("customers", "invoices", "tickets"),
-    "monthly_revenue": ("customers", "invoices"),
-    "ticket_summary": ("customers", "tickets"),
-}
-
-
 def refine_and_model(
-    store: Store, declared: Mapping[str, Entity], batch_id: str, rows_in: Mapping[str, int], changed: Collection[str] | None = None
+    store: Store, declared: Mapping[str, Entity], batch_id: str, rows_in: Mapping[str, int]
 ) -> list[dict]:
-    """Silver, quarantine and gold from the landed tables; customers first, as the others refer to them.
-
-    With ``changed`` only these entities are refined, those that refer to changed customers, and the marts made of
-    any of them; the rest is left as it is and not logged.
-    """
-    touched = set(declared if changed is None else changed)
-    if "customers" in touched:
-        touched |= {name for name, entity in declared.items() if entity.reference}
-    log = [refine_entity(store, declared[n], batch_id, rows_in[n]) for n in ("customers", "invoices", "tickets") if n in touched]
+    """Silver, quarantine and gold from the landed tables; customers first, as the others refer to them."""
+    log = [refine_entity(store, declared[n], batch_id, rows_in[n]) for n in ("customers", "invoices", "tickets")]
     make = {"customer_360": marts.customer_360, "monthly_revenue": marts.monthly_revenue, "ticket_summary": marts.ticket_summary}
-    for name, inputs in MART_INPUTS.items():
-        if touched.isdisjoint(inputs):
-            continue
+    for name, inputs in marts.INPUTS.items():
         rows = runlog.observed_write(store, make[name](*(store.read("silver", n) for n in inputs)), "gold", name)["rows"]
         log.append(runlog.entry(batch_id, "gold", name, rows, rows))
     return log

@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.settings import Settings
 
 
+#: The partition of a table's file without rows.
+NO_ROWS = -2
+
+
 class Store:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark = spark
@@ -37,6 +42,42 @@ class Store:
         else:
             writer.saveAsTable(self.table(layer, name))
 
+    def replace_partitions(self, df: DataFrame, layer: str, name: str, partition: str) -> None:
+        """The rows of ``df`` replace the partitions they fall in; all others stay.
+
+        Adaptive execution brings a partition's rows together and splits what is large, so there are few files.
+        """
+        ordered = df.select(*[c for c in df.columns if c != partition], partition).hint("rebalance", F.col(partition))
+        writer = ordered.write.format(self.settings.provider).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if self.by_path:
+            self._with_a_file(df, layer, name, partition)
+            writer.partitionBy(partition).save(self.path(layer, name))
+        elif self.spark.catalog.tableExists(self.table(layer, name)):
+            writer.insertInto(self.table(layer, name))
+        else:
+            writer.partitionBy(partition).saveAsTable(self.table(layer, name))
+
+    def _hadoop(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _with_a_file(self, df: DataFrame, layer: str, name: str, partition: str) -> None:
+        """A new partitioned table gets a file without rows, so that it can be read before it has any."""
+        files, path = self._hadoop(self.path(layer, name))
+        if not files.exists(path):
+            columns = df.drop(partition).schema
+            empty = self.spark.createDataFrame([], columns).coalesce(1)
+            empty.write.format(self.settings.provider).save(f"{self.path(layer, name)}/{partition}={NO_ROWS}")
+
+    def drop_partitions(self, layer: str, name: str, partition: str, values: Sequence[int]) -> None:
+        """Remove partitions, if there are any of these."""
+        for value in values:
+            if self.by_path:
+                files, path = self._hadoop(f"{self.path(layer, name)}/{partition}={value}")
+                files.delete(path, True)
+            else:
+                self.spark.sql(f"alter table {self.table(layer, name)} drop if exists partition ({partition} = {value})")
+
     def read(self, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
         """``schema`` is needed for files only where the table may be empty and partitioned: it then has no file."""
         if self.by_path:
