@@ -253,7 +253,7 @@ def incremental_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     for portion in (0, 1, None):
         for source, even in first.items() if portion is not None else ():
             _write_extracts(spark, sf_dir, folder, [source], even if portion == 0 else ~even)
-        incremental.run_incremental(store, {s: f"{folder}/raw/{s}" for s in MAKERS}, f"{folder}/checkpoints", f"run{portion}", _declared())
+        incremental.run_incremental(store, {s: f"{folder}/raw/{s}" for s in MAKERS}, f"{folder}/checkpoints", f"run{portion}", _declared(), buckets=16)
     return store.read("gold", "monthly_revenue")
 
 

@@ -49,8 +49,8 @@ class Store:
         """
         ordered = df.select(*[c for c in df.columns if c != partition], partition).hint("rebalance", F.col(partition))
         writer = ordered.write.format(self.settings.provider).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        self.with_a_file(df, layer, name, partition)
         if self.by_path:
-            self._with_a_file(df, layer, name, partition)
             writer.partitionBy(partition).save(self.path(layer, name))
         elif self.spark.catalog.tableExists(self.table(layer, name)):
             writer.insertInto(self.table(layer, name))
@@ -61,8 +61,10 @@ class Store:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _with_a_file(self, df: DataFrame, layer: str, name: str, partition: str) -> None:
+    def with_a_file(self, df: DataFrame, layer: str, name: str, partition: str) -> None:
         """A new partitioned table gets a file without rows, so that it can be read before it has any."""
+        if not self.by_path:
+            return
         files, path = self._hadoop(self.path(layer, name))
         if not files.exists(path):
             columns = df.drop(partition).schema

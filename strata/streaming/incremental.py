@@ -65,6 +65,7 @@ def run_incremental(
             arrived = state.arrived(change)
         else:
             state.add_up(name, change)
+        change.commit()
     log += st.run_marts(state, touched)
     runlog.append(store, log)
     return log

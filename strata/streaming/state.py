@@ -18,7 +18,7 @@ the write commits. The number of buckets is fixed by the first run of a store.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -51,10 +51,14 @@ def _listed(df: DataFrame, column: str = BUCKET) -> list[int]:
 
 @dataclass
 class Change:
-    """What a run did to one entity: its valid rows in the touched buckets before and after, and its log counts."""
+    """What a run did to one entity: its valid rows in the touched buckets before and after, and its log counts.
+
+    ``before`` reads the state as it was, which ``commit`` replaces.
+    """
 
     before: DataFrame
     after: DataFrame
+    commit: Callable[[], None]
     rows_in: int
     rows_out: int
     quarantined: int
@@ -81,10 +85,10 @@ class BucketedState:
             found = self.store.spark.createDataFrame([], schema)
         return found.select(*schema.names).where(F.col(column).isin(list(buckets)))
 
-    def _replace(self, df: DataFrame, layer: str, name: str, buckets: Sequence[int], column: str = BUCKET) -> None:
-        """``df`` becomes the whole content of these buckets."""
+    def _replace(self, df: DataFrame, layer: str, name: str, emptied: Sequence[int] = (), column: str = BUCKET) -> None:
+        """``df`` becomes the whole content of its buckets; those in ``emptied`` get no rows and are removed."""
         self.store.replace_partitions(df, layer, name, column)
-        self.store.drop_partitions(layer, name, column, sorted(set(buckets) - set(_listed(df, column))))
+        self.store.drop_partitions(layer, name, column, emptied)
 
     # -- entities ----------------------------------------------------------------------------------------------------
 
@@ -114,22 +118,21 @@ class BucketedState:
         both = old.withColumn(_NEW, F.lit(False)).unionByName(fresh.withColumn(_NEW, F.lit(True)))
         best = F.max(F.struct("_version", "_ingested_at", *rest, OUTCOME, _NEW)).alias("best")
         merged = both.groupBy(BUCKET, "_key").agg(best, F.sum(COPIES).alias(COPIES)).select(BUCKET, "_key", "best.*", COPIES)
-        judged = self._kept(self._judged(entity, self._kept(merged, f"{name}_merged"), rest), f"{name}_judged")
-        before = self._kept(self._valid(entity, old), f"{name}_before")
-        held = self._counts(entity, judged, old, touched, counts)
-
-        typed = refine.standardize(judged, entity, carry=[OUTCOME, BUCKET]).withColumns(dict(entity.derived))
-        after = self._kept(self._valid(entity, judged), f"{name}_after")
-        self._replace(after, "silver", name, touched)
-        orphans = typed.where(F.col(OUTCOME) == ORPHAN).select(
-            *entity.typed, *LINEAGE, F.lit(refine.CUSTOMER_EXISTS).alias(dq.FAILED_RULES), RAW, BUCKET)
-        self._replace(orphans, "quarantine", name, touched)
-        # Added to rows of other batches only, so that a repeated run of this batch does not repeat them.
-        store.write(rejects.withColumn(BUCKET, F.lit(REJECTS)), "quarantine", name, mode="append", partition_by=[BUCKET])
+        judged = self._kept(self._judged(entity, merged, rest), f"{name}_judged")
+        now, held = self._counts(entity, judged, touched, counts)
+
+        self._replace(self._valid(entity, judged), "silver", name, [b for b in touched if not now[b].valid])
         if entity.reference:
-            self._park(entity, typed, judged, arrived)
-        self._replace(judged.drop(_NEW), "state", name, touched)
-        return Change(before, after, *held)
+            typed = refine.standardize(judged.where(F.col(OUTCOME) == ORPHAN), entity, carry=[BUCKET]).withColumns(dict(entity.derived))
+            orphans = typed.select(*entity.typed, *LINEAGE, F.lit(refine.CUSTOMER_EXISTS).alias(dq.FAILED_RULES), RAW, BUCKET)
+            self._replace(orphans, "quarantine", name, [b for b in touched if not now[b].orphans])
+            self._park(entity, judged, arrived)
+        rejects = rejects.withColumn(BUCKET, F.lit(REJECTS))
+        store.with_a_file(rejects, "quarantine", name, BUCKET)
+        store.write(rejects, "quarantine", name, mode="append", partition_by=[BUCKET])
+        before = self._valid(entity, old)
+        after = self._read("silver", name, before.schema, touched)
+        return Change(before, after, lambda: self._replace(judged.drop(_NEW), "state", name), *held)
 
     def _valid(self, entity: Entity, judged: DataFrame) -> DataFrame:
         typed = refine.standardize(judged.where(F.col(OUTCOME) == VALID), entity, carry=[BUCKET]).withColumns(dict(entity.derived))
@@ -139,16 +142,17 @@ class BucketedState:
         """``merged`` with its outcomes; only new rows and orphans are looked up, in the buckets of their references."""
         if entity.reference is None:
             return merged.withColumn(OUTCOME, F.lit(VALID))
-        settled = (F.col(OUTCOME) == VALID) & ~F.col(_NEW)
-        reference = refine.standardize(merged.where(~settled), entity, carry=["_key", "_version", BUCKET, COPIES, _NEW]).select(
-            *[F.col(c) for c in (BUCKET, "_key", "_version", "_ingested_at")], f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), COPIES, _NEW,
-            F.col(entity.reference).alias("_reference"))
-        asked = self._kept(reference.withColumn("_ref_bucket", bucket_of("_reference", self.buckets)), f"{entity.name}_asked")
+        typed = refine.standardize(merged, entity, carry=["_key", "_version", BUCKET, OUTCOME, COPIES, _NEW])
+        asks = (F.col(OUTCOME) != VALID) | F.col(_NEW)
+        reference = F.when(asks, F.col(entity.reference)).alias("_reference")
+        rows = typed.select(BUCKET, "_key", "_version", "_ingested_at", f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), OUTCOME, COPIES, _NEW, reference)
+        rows = self._kept(rows.withColumn("_ref_bucket", bucket_of("_reference", self.buckets)).withColumn("_asks", asks), f"{entity.name}_merged")
+        asked = rows.where("_asks")
         keys = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField(BUCKET, T.IntegerType())])
         parents = self._read("silver", "customers", keys, _listed(asked, "_ref_bucket")).select(F.col("customer_id").alias("_reference"))
         known = refine.check_reference(asked, parents, "_reference")
         looked_up = known.withColumn(OUTCOME, F.when(F.col(refine.KNOWN), VALID).otherwise(ORPHAN))
-        return merged.where(settled).unionByName(looked_up.select(*merged.columns))
+        return rows.where("not _asks").select(*merged.columns).unionByName(looked_up.select(*merged.columns))
 
     # -- parked orphans ----------------------------------------------------------------------------------------------
 
@@ -164,13 +168,14 @@ class BucketedState:
         parked, _ = self._parked(entity, arrived)
         return parked.join(arrived.select(F.col("customer_id").alias("_reference")), "_reference", "left_semi")
 
-    def _park(self, entity: Entity, typed: DataFrame, judged: DataFrame, arrived: DataFrame | None) -> None:
+    def _park(self, entity: Entity, judged: DataFrame, arrived: DataFrame | None) -> None:
         """Take out what was re-admitted, put in what is new; an entry whose row was replaced since is harmless."""
         if arrived is not None:
             parked, buckets = self._parked(entity, arrived)
             if buckets:
                 left = parked.join(arrived.select(F.col("customer_id").alias("_reference")), "_reference", "left_anti")
-                self._replace(self._kept(left, f"{entity.name}_parked"), "parked", entity.name, buckets, "_ref_bucket")
+                left = self._kept(left, f"{entity.name}_parked")
+                self._replace(left, "parked", entity.name, sorted(set(buckets) - set(_listed(left, "_ref_bucket"))), "_ref_bucket")
         new = refine.standardize(judged.where((F.col(OUTCOME) == ORPHAN) & F.col(_NEW)), entity, carry=["_key", BUCKET])
         rows = new.select(F.col(entity.reference).alias("_reference"), "_key", BUCKET, bucket_of(entity.reference, self.buckets).alias("_ref_bucket"))
         self.store.write(rows.where("_reference is not null"), "parked", entity.name, mode="append", partition_by=["_ref_bucket"])
@@ -179,8 +184,9 @@ class BucketedState:
 
     _COUNTS = "entity string, bucket int, copies bigint, valid bigint, orphans bigint"
 
-    def _counts(self, entity: Entity, judged: DataFrame, old: DataFrame, touched: Sequence[int], counts) -> tuple[int, int, int]:
-        """Check that nothing was lost, and bring the totals up to date: (landed, valid, quarantined) rows so far."""
+    def _counts(self, entity: Entity, judged: DataFrame, touched: Sequence[int], counts) -> tuple[dict, tuple[int, int, int]]:
+        """Check that nothing was lost, and bring the totals up to date: the touched buckets' counts, and the landed, valid
+        and quarantined rows so far."""
         schema = T._parse_datatype_string(self._COUNTS)
         try:
             known = {(r.entity, r.bucket): r for r in self.store.read("ops", "state_counts").collect()}  # entities x buckets rows
@@ -198,7 +204,7 @@ class BucketedState:
         rows[entity.name, REJECTS] = (entity.name, REJECTS, rejected, 0, 0)
         own = [r for (e, b), r in rows.items() if e == entity.name]
         self.store.write(self.store.spark.createDataFrame(list(rows.values()), schema).coalesce(1), "ops", "state_counts")
-        return sum(r[2] for r in own), sum(r[3] for r in own), rejected + sum(r[4] for r in own)
+        return now, (sum(r[2] for r in own), sum(r[3] for r in own), rejected + sum(r[4] for r in own))
 
     # -- marts -------------------------------------------------------------------------------------------------------
 
@@ -219,7 +225,7 @@ class BucketedState:
         if touched:
             held = self._read("sums", name, delta.schema, touched)
             total = held.unionByName(delta).groupBy(*groups, BUCKET).agg(*[F.sum(k).cast(delta.schema[k].dataType).alias(k) for k in sums])
-            self._replace(self._kept(total.select(*delta.columns), f"{name}_sums"), "sums", name, touched)
+            self._replace(self._kept(total.select(*delta.columns), f"{name}_sums"), "sums", name)
         if name == "invoices":
             self._latest(change)
 
@@ -231,7 +237,7 @@ class BucketedState:
         touched = _listed(moved)
         if touched:
             held = self._read("sums", "latest_invoice", moved.schema, touched).join(moved, ["customer_id", "of_bucket"], "left_anti")
-            self._replace(self._kept(held.unionByName(moved), "latest"), "sums", "latest_invoice", touched)
+            self._replace(self._kept(held.unionByName(moved), "latest"), "sums", "latest_invoice")
 
     def table(self, name: str, schema: str) -> DataFrame:
         """All sums of a kind; none if there are none yet."""
