@@ -80,6 +80,14 @@ class Store:
             else:
                 self.spark.sql(f"alter table {self.table(layer, name)} drop if exists partition ({partition} = {value})")
 
+    def drop(self, layer: str, name: str) -> None:
+        """Remove a table, if there is one."""
+        if self.by_path:
+            files, path = self._hadoop(self.path(layer, name))
+            files.delete(path, True)
+        else:
+            self.spark.sql(f"drop table if exists {self.table(layer, name)}")
+
     def read(self, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
         """``schema`` is needed for files only where the table may be empty and partitioned: it then has no file."""
         if self.by_path:
