@@ -1,0 +1,69 @@
+"""Clustered vector search against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators import vector_index
+from strata.operators.vector_index import VectorIndex
+from strata.settings import Settings
+from strata.sources.tables import Store
+
+
+def unit(rows):
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+
+
+def wanted(asked, stored, k):
+    scores = np.round(unit(asked) @ unit(stored).T, 9)
+    return {(q, r): (int(i), scores[q, i]) for q in range(len(asked))
+            for r, i in enumerate(np.lexsort((np.arange(len(stored)), -scores[q]))[:k], 1)}
+
+
+def frames(spark, asked, stored, tmp_path, clusters):
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(stored)] + [(9999, None)], "vec_id int, embedding array<float>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)] + [(9999, None)], "query_id int, embedding array<float>")
+    return VectorIndex.build(vectors.repartition(5), Store(spark, Settings(root=str(tmp_path))), clusters=clusters), queries
+
+
+@pytest.mark.parametrize("k, clusters, query_bytes, part_rows", [(5, None, 1 << 20, 8192), (40, 12, 5 * 64, 30)])
+def test_clusters_match_brute_force(spark, tmp_path, monkeypatch, k, clusters, query_bytes, part_rows):
+    monkeypatch.setattr(vector_index, "PART_ROWS", part_rows)
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(10, 8)) * 4
+    stored = (middles[rng.integers(0, 10, 500)] + rng.normal(size=(500, 8)) * 0.3).astype(np.float32)
+    stored[100:260] = stored[7]  # a third are copies of one vector
+    stored[300:304] = 0
+    asked = np.vstack([stored[::50], rng.normal(size=(6, 8)), np.zeros((1, 8))]).astype(np.float32)
+    index, queries = frames(spark, asked, stored, tmp_path, clusters)
+    assert index.vectors.count() == 500
+    hits, visits = vector_index.nearest(index, queries, k, query_bytes)
+    found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in hits.collect()}
+    expected = wanted(asked.astype(float), stored.astype(float), k)
+    assert {key: v[0] for key, v in found.items()} == {key: v[0] for key, v in expected.items()}
+    assert all(abs(found[key][1] - v[1]) < 1e-8 for key, v in expected.items())
+    products = visits.agg(F.sum("n")).first()[0]
+    assert visits.count() == visits.distinct().count() and products < 0.8 * 500 * len(asked)
+
+
+def test_fewer_vectors_than_k_and_none(spark, tmp_path):
+    index, queries = frames(spark, np.ones((2, 3)), np.eye(3), tmp_path, None)
+    assert vector_index.nearest(index, queries, 5)[0].count() == 6
+    assert vector_index.nearest(index, queries.limit(0), 5)[0].count() == 0
+    none = spark.createDataFrame([(1, None)], "vec_id int, embedding array<float>")
+    with pytest.raises(ValueError, match="no vectors"):
+        VectorIndex.build(none, Store(spark, Settings(root=f"{tmp_path}/none")))
+
+
+def test_bounds_are_never_below_a_score():
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        rows, asked = unit(rng.normal(size=(60, 5))), unit(rng.normal(size=(9, 5)))
+        centres = vector_index._centres(rows, 6)
+        own = ((rows[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        known = vector_index._Bounds.__new__(vector_index._Bounds)
+        known.cluster, known.centre = np.arange(len(centres)), centres
+        known.radius = np.array([np.linalg.norm(rows[own == c] - centres[c], axis=1).max(initial=0) for c in range(len(centres))])
+        assert (known.of(asked)[:, own] >= asked @ rows.T - 1e-9).all()
