@@ -3,7 +3,8 @@
 A document's leaves are runs of whole pre-tokens of about ``LEAF`` characters with their token counts; above them stands
 a complete binary tree of sums of characters and tokens, kept as two arrays (``chars`` and ``tokens``; node i has the
 children 2i and 2i + 1, the root is node 1). Leaves begin at an ASCII space or line feed that follows a character that
-is no white space: the pre-tokenizer always cuts there, so leaf counts add up to the count of the text.
+is no white space. The pattern must always cut there, so that leaf counts add up to the count of the text; patterns that
+do not, such as those where signs take the line feeds that follow, are refused (``require_cuts``).
 
 An edit replaces code points [start, stop) of the original text. The tree leads to the leaves it touches; the region
 from the leaf that holds the two characters before it is cut and encoded anew, until a leaf beginning behind the edit is
@@ -19,20 +20,26 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strata.llm.common import with_fields
+from strata.llm.common import SLICE_BYTES, with_fields
 
 LEAF = 256
-#: A place where the pre-tokenizer cuts whatever comes before and after.
+#: A place where the pre-tokenizer cuts whatever comes before and after, see ``require_cuts``.
 _CUT = re.compile(r"(?<=\S)[ \n]")
 _EDITS = "array<struct<start:int,stop:int,text:string>>"
 _TREE = "n_tokens long, leaves int, chars array<int>, tokens array<int>"
@@ -45,6 +52,26 @@ def encoder(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
 
 
+@cache
+def require_cuts(pattern: str) -> None:
+    """Refuse a pattern whose pre-tokens may run on over a leaf's start, as leaf counts would not add up then.
+
+    Tried around signs of every general category of Unicode, with what may stand before and after them.
+    """
+    kinds: dict[str, list[str]] = {}
+    for code in range(sys.maxunicode + 1):
+        some = kinds.setdefault(unicodedata.category(chr(code)), [])
+        if len(some) < 3 and not chr(code).isspace() and unicodedata.category(chr(code)) != "Cs":
+            some.append(chr(code))
+    signs = [*dict.fromkeys([*"aZ19!.'-_", "'s", "'ll", *(c for some in kinds.values() for c in some)])]
+    compiled = regex.compile(pattern)
+    for before, sign, cut, after in product(("", "a", "1", "!", " "), signs, " \n", ("", "a", "1", "!", " ", "\n", "\n\n")):
+        head = before + sign
+        text = head + cut + after
+        if any(m.start() < len(head) < m.end() for m in compiled.finditer(text)):
+            raise ValueError(f"pre-tokens of this pattern do not always end before a space or line feed: {ascii(text)}")
+
+
 def leaf_starts(text: str, begin: int = 0, end: int | None = None, leaf: int = LEAF) -> list[int]:
     """Starts of the leaves of text[begin:end]; ``begin`` is one itself."""
     end = len(text) if end is None else end
@@ -178,14 +205,27 @@ def _shared(spark, ranks_path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
+def _by_bytes(rows: pa.StructArray, limit: int = SLICE_BYTES) -> Iterator[pa.StructArray]:
+    """Rows in order, in slices of about ``limit`` bytes of text; a longer text makes a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(rows.field("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(rows):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+        yield rows.slice(at, stop - at)
+        at = stop
+
+
 def _per_row(kind: str, ranks, pattern: str, one):
     """A column function over structs: ``one`` makes a dict of the result from a row and the encoding."""
     parsed = T._parse_datatype_string(kind)
+    require_cuts(pattern)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoding, arrow = encoder(ranks.value, pattern), to_arrow_type(parsed)
         for batch in batches:
-            yield pa.array([one(row, encoding) for row in batch], arrow)
+            parts = [pa.array([one(row, encoding) for row in some], arrow) for some in _by_bytes(batch)]
+            yield pa.chunked_array(parts, arrow).combine_chunks()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, parsed).asNondeterministic()

@@ -6,6 +6,7 @@ import random
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,23 @@ def test_edit_table_and_odd_edits(spark, encoding):
     got = {r.doc_id: r for r in tc.apply_edits(tc.join_edits(trees, edits), RANKS, PATTERN).collect()}
     assert {k: (r.text, r.n_edits) for k, r in got.items()} == {1: ("one 2 three", 1), 2: ("new text", 1), 3: ("left alone", 0)}
     assert all(r.n_tokens == len(encoding.encode_ordinary(r.text)) for r in got.values())
+
+
+def test_patterns_without_certain_cuts_are_refused(spark):
+    tc.require_cuts(PATTERN)
+    trailing = r"[^\s\p{L}\p{N}]+[\r\n]*|\p{L}+|\p{N}|\s+"  # signs take the line feeds that follow
+    for pattern in (trailing, r"\p{L}+ ?|\S|\s"):
+        with pytest.raises(ValueError, match="pre-tokens"):
+            tc.require_cuts(pattern)
+    docs = spark.createDataFrame([(1, "text")], "doc_id int, text string")
+    with pytest.raises(ValueError, match="pre-tokens"):
+        tc.with_trees(docs, RANKS, trailing)
+
+
+def test_slices_by_bytes_keep_all_rows_in_order():
+    texts = ["a" * 100, None, "", "b" * 5000, "c", *["d" * 30] * 40, "é" * 400]
+    rows = pa.StructArray.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(tc._by_bytes(rows, 1000))
+    assert [r["text"].as_py() for part in parts for r in part] == texts
+    assert all(sum(len((r["text"].as_py() or "").encode()) + 64 for r in part) <= 1000 or len(part) == 1 for part in parts)
+    assert list(tc._by_bytes(rows.slice(0, 0))) == []
