@@ -93,7 +93,7 @@ class SegmentedIndex:
         texts = self._kept(chunks.select("doc_id", "chunk_id", "text"), f"s{this}_texts")
         count = texts.count()
         placed = self._kept(retrieval.numbered(texts, count, this), f"s{this}_chunks")
-        blocks = self._kept(retrieval.inverted(placed, self.stop_words), f"s{this}_blocks")
+        blocks = self._kept(retrieval.inverted(placed, count, self.stop_words), f"s{this}_blocks")
         frequencies = retrieval.frequencies(blocks)
         if state.segments:
             ids = texts.select("doc_id")
@@ -134,7 +134,7 @@ class SegmentedIndex:
             texts = self._kept(self._living(full, state.segments).select("doc_id", "chunk_id", "text"), f"s{this}_texts")
             count = texts.count()
             placed = self._kept(retrieval.numbered(texts, count, this), f"s{this}_chunks")
-            self._kept(retrieval.inverted(placed, self.stop_words), f"s{this}_blocks")
+            self._kept(retrieval.inverted(placed, count, self.stop_words), f"s{this}_blocks")
             # Summed, not counted anew: what later segments take back from the merged ones stays in their own sums.
             merged = self._all(full, "frequencies").groupBy("term").agg(F.sum("df").alias("df"))
             self._kept(merged.where("df != 0"), f"s{this}_frequencies")
