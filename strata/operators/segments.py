@@ -9,13 +9,18 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import retrieval
 from strata.operators.retrieval import TfidfIndex
 from strata.sources.tables import Store
 
-PARTS = ("chunks", "blocks", "frequencies", "dead")
+TABLES = ("shards", "dead", "less")
+#: The parts that terms are added up in; a store's segments must agree in it.
+PARTS = 512
 _MANIFEST = "version long, next_id long, segments array<struct<id:long,chunks:long>>, total long, ready boolean"
+_DEAD = "shard long, chunk_no int"
+_LESS = "shard long, part int, terms binary, df binary, sign int"
 _ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
@@ -26,9 +31,9 @@ def _union(tables: Sequence[DataFrame]) -> DataFrame:
 class SegmentedIndex:
     """Segments of a TF-IDF index in the layer ``index`` of a store; one writer at a time.
 
-    An update writes one segment and touches no other: its ``chunks`` and ``blocks`` (as in ``TfidfIndex``), the chunks of
-    earlier segments that it replaces or removes (``dead``), and ``frequencies`` (term, df), where dead chunks count
-    negatively. The sum of all segments' frequencies is that of the living chunks. ``fanout`` segments of about one
+    An update writes one segment and touches no other: its ``shards`` (as in ``retrieval.inverted``), the chunks of
+    earlier segments that it replaces or removes (``dead``), and their terms (``less``), which count negatively. The terms
+    listed in the shards and in ``less`` add up to the frequencies of the living chunks. ``fanout`` segments of about one
     size are merged into one, so a chunk is indexed again a logarithmic number of times.
 
     A list holds no idf, so it stays as it is when frequencies change. ``current`` sums up frequencies and norms for the
@@ -39,10 +44,12 @@ class SegmentedIndex:
     searches that still read them, until ``vacuum``.
     """
 
-    def __init__(self, store: Store, name: str = "documents", stop_words: Sequence[str] | None = None, fanout: int = 8):
+    def __init__(self, store: Store, name: str = "documents", stop_words: Sequence[str] | None = None, fanout: int = 8,
+                 parts: int = PARTS):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
-        self.store, self.name, self.stop_words, self.fanout = store, name, retrieval._listed(stop_words), fanout
+        self.store, self.name, self.stop_words = store, name, retrieval._listed(stop_words)
+        self.fanout, self.parts = fanout, parts
 
     # -- tables ------------------------------------------------------------------------------------------------------
 
@@ -62,16 +69,28 @@ class SegmentedIndex:
         spark = self.store.spark
         self.store.write(spark.createDataFrame([row], _MANIFEST).coalesce(1), "index", f"{self.name}_manifest", "append")
 
-    def _kept(self, df: DataFrame, table: str) -> DataFrame:
-        self.store.write(df, "index", f"{self.name}_{table}")
-        return self.store.read("index", f"{self.name}_{table}")
+    def _kept(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        self.store.write(df, "index", f"{self.name}_{table}", partition_by=partition_by)
+        return self.store.read("index", f"{self.name}_{table}", df.schema if partition_by else None)
 
-    def _all(self, segments: Sequence, part: str) -> DataFrame:
-        return _union([self.store.read("index", f"{self.name}_s{s.id}_{part}") for s in segments])
+    def _indexed(self, chunks: DataFrame, this: int) -> int:
+        """Write the shards of a segment; how many chunks it has. Without any it has no such table."""
+        size = retrieval._size(chunks)
+        if not size[0]:
+            return 0
+        rows = retrieval.inverted(chunks, size, self.stop_words, this, self.parts)
+        return retrieval.part(self._kept(rows, f"s{this}_shards", ["kind"]), "chunks").count()
+
+    def _all(self, segments: Sequence, table: str) -> DataFrame:
+        return _union([self.store.read("index", f"{self.name}_s{s.id}_{table}") for s in segments])
+
+    def _shards(self, segments: Sequence, kind: str) -> DataFrame:
+        """The rows of one kind of all segments that have chunks, of which there is at least one."""
+        return _union([retrieval.part(self._all([s], "shards"), kind) for s in segments if s.chunks])
 
     def _living(self, segments: Sequence, every: Sequence) -> DataFrame:
         """The chunks of ``segments`` that no segment of ``every`` has declared dead."""
-        return self._all(segments, "chunks").join(self._all(every, "dead"), ["shard", "chunk_no"], "left_anti")
+        return self._shards(segments, "chunks").join(self._all(every, "dead"), ["shard", "chunk_no"], "left_anti")
 
     # -- updates -----------------------------------------------------------------------------------------------------
 
@@ -88,14 +107,13 @@ class SegmentedIndex:
         this = state.next_id
         if chunks is None:
             chunks = spark.createDataFrame([], "doc_id string, chunk_id string, text string")
-            if state.segments:
-                chunks = self._all(state.segments[:1], "chunks").select("doc_id", "chunk_id", "text").limit(0)
+            held = [s for s in state.segments if s.chunks]
+            if held:
+                chunks = self._shards(held[:1], "chunks").select("doc_id", "chunk_id", "text").limit(0)
         texts = self._kept(chunks.select("doc_id", "chunk_id", "text"), f"s{this}_texts")
-        count = texts.count()
-        placed = self._kept(retrieval.numbered(texts, count, this), f"s{this}_chunks")
-        blocks = self._kept(retrieval.inverted(placed, count, self.stop_words), f"s{this}_blocks")
-        frequencies = retrieval.frequencies(blocks)
-        if state.segments:
+        count, killed = self._indexed(texts, this), 0
+        less = spark.createDataFrame([], _LESS)
+        if any(s.chunks for s in state.segments):
             ids = texts.select("doc_id")
             if gone is not None:
                 ids = ids.unionByName(gone.select("doc_id"))
@@ -105,13 +123,12 @@ class SegmentedIndex:
             touched = [s for s in state.segments if s.id in hit]
             killed = dead.count()
             if touched:
-                lost = self._all(touched, "chunks").join(dead, ["shard", "chunk_no"])
-                less = retrieval.terms(lost, "chunk_id", self.stop_words).groupBy("term").agg((-F.count(F.lit(1))).alias("df"))
-                frequencies = frequencies.unionByName(less).groupBy("term").agg(F.sum("df").alias("df"))
+                lost = self._shards(touched, "chunks").join(dead, ["shard", "chunk_no"]).select("shard", "text")
+                sent = retrieval.together(lost, "shard", self.stop_words)
+                less = retrieval.listed(sent.select("shard", "words"), self.parts, sign=-1)
         else:
-            killed = 0
-            self._kept(placed.select("shard", "chunk_no").limit(0), f"s{this}_dead")
-        self._kept(frequencies.where("df != 0"), f"s{this}_frequencies")
+            self._kept(spark.createDataFrame([], _DEAD), f"s{this}_dead")
+        self._kept(less, f"s{this}_less")
         self.store.drop("index", f"{self.name}_s{this}_texts")
         segments = [*state.segments, Row(id=this, chunks=count)]
         self._commit(state.version + 1, this + 1, segments, state.total + count - killed)
@@ -131,16 +148,12 @@ class SegmentedIndex:
             if full is None:
                 return
             this, numbers = state.next_id, [s.id for s in full]
-            texts = self._kept(self._living(full, state.segments).select("doc_id", "chunk_id", "text"), f"s{this}_texts")
-            count = texts.count()
-            placed = self._kept(retrieval.numbered(texts, count, this), f"s{this}_chunks")
-            self._kept(retrieval.inverted(placed, count, self.stop_words), f"s{this}_blocks")
-            # Summed, not counted anew: what later segments take back from the merged ones stays in their own sums.
-            merged = self._all(full, "frequencies").groupBy("term").agg(F.sum("df").alias("df"))
-            self._kept(merged.where("df != 0"), f"s{this}_frequencies")
             elsewhere = ~F.shiftright("shard", 32).isin(numbers)
-            self._kept(self._all(full, "dead").where(elsewhere), f"s{this}_dead")
-            self.store.drop("index", f"{self.name}_s{this}_texts")
+            count = 0
+            if any(s.chunks for s in full):
+                count = self._indexed(self._living(full, state.segments).select("doc_id", "chunk_id", "text"), this)
+            for table in ("dead", "less"):
+                self._kept(self._all(full, table).where(elsewhere), f"s{this}_{table}")
             rest = [s for s in state.segments if s.id not in numbers]
             self._commit(state.version + 1, this + 1, [*rest, Row(id=this, chunks=count)], state.total)
 
@@ -151,25 +164,29 @@ class SegmentedIndex:
         state = self._state()
         if not state.total:
             raise ValueError("no chunks to index")
-        blocks, dead = self._all(state.segments, "blocks"), self._all(state.segments, "dead")
-        names = f"v{state.version}_vocabulary", f"v{state.version}_norms"
+        dead = self._all(state.segments, "dead")
+        names = f"v{state.version}_counted", f"v{state.version}_norms"
         if state.ready:
-            vocabulary, norms = (self.store.read("index", f"{self.name}_{n}") for n in names)
+            added = self.store.read("index", f"{self.name}_{names[0]}", StructType.fromDDL(retrieval.COUNTED))
+            norms = self.store.read("index", f"{self.name}_{names[1]}")
         else:
-            df = self._all(state.segments, "frequencies").groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
-            vocabulary = self._kept(df.withColumn("idf", retrieval._idf(F.col("df"), F.lit(float(state.total)))), names[0])
-            norms = self._kept(retrieval.norms(blocks, vocabulary, dead), names[1])
+            # What was taken from segments that are merged by now is not in the merged one either.
+            here = F.shiftright("shard", 32).isin([s.id for s in state.segments])
+            listed = self._shards(state.segments, "listed").unionByName(self._all(state.segments, "less").where(here))
+            added = self._kept(retrieval.counted(listed, state.total), names[0], ["kind"])
+            entries = self._shards(state.segments, "entries")
+            norms = self._kept(retrieval.norms(entries, retrieval.part(added, "shards"), state.total, dead), names[1])
             self._commit(state.version, state.next_id, state.segments, state.total, ready=True)
-        living = self._living(state.segments, state.segments)
-        return TfidfIndex(living, blocks, norms, vocabulary, self.stop_words)
+        living, blocks = self._living(state.segments, state.segments), self._shards(state.segments, "blocks")
+        return TfidfIndex(living, blocks, norms, retrieval.part(added, "vocabulary"), self.stop_words)
 
     def vacuum(self) -> None:
         """Drop the tables of merged segments and of older versions; no search may still read them."""
         state = self._state()
         used = {s.id for s in state.segments}
         for number in set(range(state.next_id)) - used:
-            for part in PARTS:
-                self.store.drop("index", f"{self.name}_s{number}_{part}")
+            for table in TABLES:
+                self.store.drop("index", f"{self.name}_s{number}_{table}")
         for version in range(state.version):
-            for part in ("vocabulary", "norms"):
-                self.store.drop("index", f"{self.name}_v{version}_{part}")
+            for table in ("counted", "norms"):
+                self.store.drop("index", f"{self.name}_v{version}_{table}")
