@@ -69,9 +69,13 @@ class SegmentedIndex:
         spark = self.store.spark
         self.store.write(spark.createDataFrame([row], _MANIFEST).coalesce(1), "index", f"{self.name}_manifest", "append")
 
-    def _kept(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        self.store.write(df, "index", f"{self.name}_{table}", partition_by=partition_by)
-        return self.store.read("index", f"{self.name}_{table}", df.schema if partition_by else None)
+    def _kept(self, df: DataFrame, table: str) -> DataFrame:
+        kinds = "kind" in df.columns
+        if kinds:
+            retrieval.write_kinds(self.store, df, f"{self.name}_{table}")
+        else:
+            self.store.write(df, "index", f"{self.name}_{table}")
+        return self.store.read("index", f"{self.name}_{table}", df.schema if kinds else None)
 
     def _indexed(self, chunks: DataFrame, this: int) -> int:
         """Write the shards of a segment; how many chunks it has. Without any it has no such table."""
@@ -79,7 +83,7 @@ class SegmentedIndex:
         if not size[0]:
             return 0
         rows = retrieval.inverted(chunks, size, self.stop_words, this, self.parts)
-        return retrieval.part(self._kept(rows, f"s{this}_shards", ["kind"]), "chunks").count()
+        return retrieval.part(self._kept(rows, f"s{this}_shards"), "chunks").count()
 
     def _all(self, segments: Sequence, table: str) -> DataFrame:
         return _union([self.store.read("index", f"{self.name}_s{s.id}_{table}") for s in segments])
@@ -173,7 +177,7 @@ class SegmentedIndex:
             # What was taken from segments that are merged by now is not in the merged one either.
             here = F.shiftright("shard", 32).isin([s.id for s in state.segments])
             listed = self._shards(state.segments, "listed").unionByName(self._all(state.segments, "less").where(here))
-            added = self._kept(retrieval.counted(listed, state.total), names[0], ["kind"])
+            added = self._kept(retrieval.counted(listed, state.total), names[0])
             entries = self._shards(state.segments, "entries")
             norms = self._kept(retrieval.norms(entries, retrieval.part(added, "shards"), state.total, dead), names[1])
             self._commit(state.version, state.next_id, state.segments, state.total, ready=True)
