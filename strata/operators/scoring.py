@@ -173,8 +173,16 @@ def retrieval(golden: DataFrame, steps: DataFrame) -> DataFrame:
 
 
 def pose(golden: DataFrame, answers: DataFrame) -> DataFrame:
-    """Every golden item with its answer, parsed; an unanswered item has a NULL answer."""
-    return parse_answers(golden.join(answers.select("id", "answer", "hit_step_limit"), "id", "left"))
+    """Every golden item with its answer, parsed; an unanswered item has a NULL answer.
+
+    Of answers that are parsed already, what was read in the answer is taken over; the question is the golden item's.
+    """
+    if "stated" not in answers.columns:
+        return parse_answers(golden.join(answers.select("id", "answer", "hit_step_limit"), "id", "left"))
+    read = {n: c for n, c in parsed_answer(F.col("question"), F.lit(None).cast("string")).items() if n != "asked"}
+    posed = golden.join(answers.select("id", "answer", "hit_step_limit", *read), "id", "left")
+    asked = parsed_answer(F.col("question"), F.col("answer"))["asked"].alias("asked")
+    return posed.select(*golden.columns, "answer", "hit_step_limit", asked, *[F.coalesce(n, c).alias(n) for n, c in read.items()])
 
 
 def score_posed(posed: DataFrame, steps: DataFrame) -> DataFrame:

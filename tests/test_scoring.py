@@ -250,3 +250,15 @@ def test_golden_ties_follow_the_refinement(spark, tmp_path):
     assert facts["total_revenue"] == [str(paid)]
     assert facts["open_total"] == [str(of["tickets"].where("status = 'open'").count())]
     assert facts["customers_in_segment"] == [str(people.where("segment = 'enterprise'").count())]
+
+
+def test_parsed_answers_are_not_read_again(spark):
+    golden = spark.createDataFrame([("a", "doc", "Is 5 right?", ["7"], None), ("b", "doc", "And 6?", None, None)],
+                                   "id string, type string, question string, expected_values array<string>, expected_doc string")
+    answers = spark.createDataFrame([("a", "other 9?", "It is 7 [source: d1]. x3 4,000.5", False)], "id string, question string, answer string, hit_step_limit boolean")
+    parsed = scoring.parse_answers(answers)
+    posed = scoring.pose(golden, parsed)
+    plain = scoring.pose(golden, answers)
+    assert posed.columns == plain.columns and sorted(map(str, posed.collect())) == sorted(map(str, plain.collect()))
+    marked = scoring.pose(golden, parsed.withColumn("stated", F.array(F.lit(42.0))))
+    assert {r.id: (r.asked, r.said, r.stated) for r in marked.collect()} == {"a": ([5.0], [7.0, 4000.5], [42.0]), "b": ([6.0], [], [])}
