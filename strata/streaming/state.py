@@ -22,7 +22,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,17 +99,23 @@ class BucketedState:
         landed = store.read("bronze", name, T._parse_datatype_string(f"{kinds}, _ingested_at timestamp"))
         landed = landed.where(F.col("_batch_id") == self.batch_id)
         tagged = refine.standardize(landed, entity).withColumn(dq.FAILED_RULES, F.array_join(dq.broken(entity.rules), ","))
-        tagged = self._kept(tagged, f"{name}_tagged")
+        passed = F.col(dq.FAILED_RULES) == ""
         text = [c for c in (*entity.source_columns, CORRUPT) if c in landed.columns]
         rest = [*text, *(c for c in LINEAGE if c != "_ingested_at")]
-        fresh = tagged.where(F.col(dq.FAILED_RULES) == "").select(
-            bucket_of(entity.key, n).alias(BUCKET), F.col(entity.key).alias("_key"), F.col(entity.version).alias("_version"), "_ingested_at",
-            f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), F.lit(1).cast("long").alias(COPIES), F.lit(ORPHAN).alias(OUTCOME),
+        reference = F.when(passed, bucket_of(entity.reference, n)) if entity.reference else F.lit(None).cast("int")
+        tagged = self._kept(tagged.select(
+            F.when(passed, bucket_of(entity.key, n)).alias(BUCKET), reference.alias("_ref_bucket"), F.col(entity.key).alias("_key"),
+            F.col(entity.version).alias("_version"), "_ingested_at", f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), dq.FAILED_RULES,
+        ), f"{name}_tagged")
+        fresh = tagged.where(passed).select(
+            BUCKET, "_key", "_version", "_ingested_at", *rest, F.lit(1).cast("long").alias(COPIES), F.lit(ORPHAN).alias(OUTCOME),
         )
-        rejects = tagged.where(F.col(dq.FAILED_RULES) != "").select(*entity.typed, *LINEAGE, dq.FAILED_RULES, RAW)
+        rejects = refine.standardize(tagged.where(~passed), entity, carry=[dq.FAILED_RULES]).select(*entity.typed, *LINEAGE, dq.FAILED_RULES, RAW)
         readmitted = self._readmitted(entity, arrived)
-        touched = sorted({*_listed(fresh), *(_listed(readmitted) if readmitted is not None else ())})
-        counts = tagged.agg(F.count_if(F.col(dq.FAILED_RULES) == "").alias("passed"), F.count_if(F.col(dq.FAILED_RULES) != "").alias("rejected")).first()
+        # Rows for each pair of buckets at most; the bucket of rejects is NULL.
+        found = tagged.groupBy(BUCKET, "_ref_bucket").agg(F.count(F.lit(1)).alias("rows")).collect()
+        counts = Row(passed=sum(r.rows for r in found if r[BUCKET] is not None), rejected=sum(r.rows for r in found if r[BUCKET] is None))
+        touched = sorted({*(r[BUCKET] for r in found if r[BUCKET] is not None), *(_listed(readmitted) if readmitted is not None else ())})
         if not touched and not counts.rejected:
             return None
 
@@ -118,7 +124,8 @@ class BucketedState:
         both = old.withColumn(_NEW, F.lit(False)).unionByName(fresh.withColumn(_NEW, F.lit(True)))
         best = F.max(F.struct("_version", "_ingested_at", *rest, OUTCOME, _NEW)).alias("best")
         merged = both.groupBy(BUCKET, "_key").agg(best, F.sum(COPIES).alias(COPIES)).select(BUCKET, "_key", "best.*", COPIES)
-        judged = self._kept(self._judged(entity, merged, rest), f"{name}_judged")
+        referred = {r["_ref_bucket"] for r in found if r[BUCKET] is not None}
+        judged = self._kept(self._judged(entity, merged, old, referred), f"{name}_judged")
         now, held = self._counts(entity, judged, touched, counts)
 
         self._replace(self._valid(entity, judged), "silver", name, [b for b in touched if not now[b].valid])
@@ -138,21 +145,23 @@ class BucketedState:
         typed = refine.standardize(judged.where(F.col(OUTCOME) == VALID), entity, carry=[BUCKET]).withColumns(dict(entity.derived))
         return typed.select(*entity.silver_columns, BUCKET)
 
-    def _judged(self, entity: Entity, merged: DataFrame, rest: Sequence[str]) -> DataFrame:
-        """``merged`` with its outcomes; only new rows and orphans are looked up, in the buckets of their references."""
+    def _judged(self, entity: Entity, merged: DataFrame, old: DataFrame, referred: set[int]) -> DataFrame:
+        """``merged`` with its outcomes; only new rows and orphans are looked up, in the buckets of their references:
+        ``referred`` are those of the new rows, and the orphans among ``old`` add theirs."""
         if entity.reference is None:
             return merged.withColumn(OUTCOME, F.lit(VALID))
-        typed = refine.standardize(merged, entity, carry=["_key", "_version", BUCKET, OUTCOME, COPIES, _NEW])
+        waiting = refine.standardize(old.where(F.col(OUTCOME) != VALID), entity)
+        buckets = referred | set(_listed(waiting.select(bucket_of(entity.reference, self.buckets).alias(BUCKET))))
+        keys = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField(BUCKET, T.IntegerType())])
+        parents = self._read("silver", "customers", keys, sorted(buckets)).select(F.col("customer_id").alias("_reference"))
         asks = (F.col(OUTCOME) != VALID) | F.col(_NEW)
-        reference = F.when(asks, F.col(entity.reference)).alias("_reference")
+        # All other rows go through the same join, each with a key of its own, which spreads them.
+        reference = F.when(asks, F.col(entity.reference)).otherwise(F.concat(F.lit("\0"), "_key")).alias("_reference")
+        typed = refine.standardize(merged, entity, carry=["_key", "_version", BUCKET, OUTCOME, COPIES, _NEW])
         rows = typed.select(BUCKET, "_key", "_version", "_ingested_at", f"{RAW}.*", *(c for c in LINEAGE if c != "_ingested_at"), OUTCOME, COPIES, _NEW, reference)
-        rows = self._kept(rows.withColumn("_ref_bucket", bucket_of("_reference", self.buckets)).withColumn("_asks", asks), f"{entity.name}_merged")
-        asked = rows.where("_asks")
-        keys = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField(BUCKET, T.IntegerType())])
-        parents = self._read("silver", "customers", keys, _listed(asked, "_ref_bucket")).select(F.col("customer_id").alias("_reference"))
-        known = refine.check_reference(asked, parents, "_reference")
-        looked_up = known.withColumn(OUTCOME, F.when(F.col(refine.KNOWN), VALID).otherwise(ORPHAN))
-        return rows.where("not _asks").select(*merged.columns).unionByName(looked_up.select(*merged.columns))
+        known = refine.check_reference(rows, parents, "_reference")
+        outcome = F.when(~asks, F.col(OUTCOME)).when(F.col(refine.KNOWN), VALID).otherwise(ORPHAN)
+        return known.withColumn(OUTCOME, outcome).select(*merged.columns)
 
     # -- parked orphans ----------------------------------------------------------------------------------------------
 
