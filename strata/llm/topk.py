@@ -19,10 +19,9 @@ Fewer than k other items give fewer rows. An empty table gives no rows.
 
 from __future__ import annotations
 
-import itertools
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
@@ -61,8 +60,12 @@ def _steps(segments: list[tuple[int, int]]):
             yield r, range(a, b), m * r + b - 1
 
 
-def _flips(width: int, r: int) -> list[int]:
-    return [sum(1 << b for b in some) for some in itertools.combinations(range(width), r)]
+def _flips(spark: SparkSession, width: int, r: int) -> DataFrame:
+    """(flip): every number of ``width`` bits of which ``r`` are set.
+
+    They are rows, as there are tens of thousands for wide segments; as expressions of a plan they fill the driver.
+    """
+    return spark.range(1 << width).where(F.bit_count("id") == r).select(F.col("id").alias("flip"))
 
 
 def search(items: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS, item_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -102,18 +105,13 @@ def search(items: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS, i
 def _round(open_: DataFrame, index: DataFrame, segments, r: int, chosen, k: int) -> DataFrame:
     """(q, best) after the probes at one radius in the chosen segments."""
     limit = F.coalesce(F.try_element_at("best", F.lit(k + 1))["d"], F.lit(64))
-    parts = []
-    for i in chosen:
-        if r > segments[i][1]:
-            continue
-        key = _key(F.col("q"), segments[i])
-        flips = F.array(*[key.bitwiseXOR(F.lit(f).cast("long")) for f in _flips(segments[i][1], r)])
-        parts.append(open_.select("q", limit.alias("most"), F.lit(i).alias("segment"), F.explode(flips).alias("key")))
-    if not parts:
+    own = [(i, s) for i, s in enumerate(segments) if i in chosen and r <= s[1]]
+    if not own:
         return open_
-    probes = parts[0]
-    for part in parts[1:]:
-        probes = probes.unionByName(part)
+    keys = F.array(*[F.struct(F.lit(i).alias("segment"), _key(F.col("q"), s).alias("key"), F.lit(1 << s[1]).cast("long").alias("end")) for i, s in own])
+    asked = open_.select("q", limit.alias("most"), F.explode(keys).alias("s")).select("q", "most", "s.*")
+    flips = F.broadcast(_flips(open_.sparkSession, max(width for _, (_, width) in own), r))
+    probes = asked.join(flips, F.col("flip") < F.col("end")).select("q", "most", "segment", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
     differ = F.col("q").bitwiseXOR(F.col("code"))
     # The pair belongs to the first segment with the smallest partial distance.
     elsewhere = F.lit(False)

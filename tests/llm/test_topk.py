@@ -53,3 +53,17 @@ def test_odd_rows(spark):
     items = [(0, 0), (1, 1), (20, 3), (4, 0), (0, 7)]
     assert found(topk.searched(df)) == plain(items, [(0, 0), (20, 3), (0, 7)], 10)
     assert topk.searched(df.where(F.lit(False))).count() == 0
+
+
+def test_wide_segments_leave_the_plan_small(spark, monkeypatch):
+    """As with millions of codes: the keys at a radius are rows, not expressions that the driver holds."""
+    rng, sizes, write = random.Random(3), [], topk.written
+    monkeypatch.setattr(topk, "_segments", lambda n, bits: [(0, 21), (21, 22), (43, 21)])
+    monkeypatch.setattr(topk, "written", lambda df, purpose: sizes.append(len(df._jdf.queryExecution().logical().toJSON())) or write(df, purpose))
+    centre = rng.getrandbits(64)
+    codes = [centre ^ sum(1 << b for b in rng.sample(range(64), 5)) for _ in range(60)]
+    items = list(enumerate(codes))
+    df = spark.createDataFrame([(i, vector(c)) for i, c in items], "vec_id long, embedding array<float>").repartition(3)
+    asked = df.where("vec_id % 20 = 0")
+    assert found(topk.search(df, asked, k=8)) == plain(items, [x for x in items if x[0] % 20 == 0], 8)
+    assert max(sizes) < 200_000
