@@ -71,10 +71,7 @@ class SegmentedIndex:
 
     def _kept(self, df: DataFrame, table: str) -> DataFrame:
         kinds = "kind" in df.columns
-        if kinds:
-            retrieval.write_kinds(self.store, df, f"{self.name}_{table}")
-        else:
-            self.store.write(df, "index", f"{self.name}_{table}")
+        retrieval.write_index(self.store, df, f"{self.name}_{table}")
         return self.store.read("index", f"{self.name}_{table}", df.schema if kinds else None)
 
     def _indexed(self, chunks: DataFrame, this: int) -> int:
@@ -176,13 +173,14 @@ class SegmentedIndex:
         else:
             # What was taken from segments that are merged by now is not in the merged one either.
             here = F.shiftright("shard", 32).isin([s.id for s in state.segments])
-            listed = self._shards(state.segments, "listed").unionByName(self._all(state.segments, "less").where(here))
-            added = self._kept(retrieval.counted(listed, state.total), names[0])
             entries = self._shards(state.segments, "entries")
+            less = self._all(state.segments, "less").where(here)
+            listed = retrieval.listed_again(entries, self.parts).unionByName(less)
+            added = self._kept(retrieval.counted(listed, state.total), names[0])
             norms = self._kept(retrieval.norms(entries, retrieval.part(added, "shards"), state.total, dead), names[1])
             self._commit(state.version, state.next_id, state.segments, state.total, ready=True)
-        living, blocks = self._living(state.segments, state.segments), self._shards(state.segments, "blocks")
-        return TfidfIndex(living, blocks, norms, retrieval.part(added, "vocabulary"), self.stop_words)
+        living, entries = self._living(state.segments, state.segments), self._shards(state.segments, "entries")
+        return TfidfIndex(living, entries, norms, retrieval.vocabulary(added), self.stop_words)
 
     def vacuum(self) -> None:
         """Drop the tables of merged segments and of older versions; no search may still read them."""
