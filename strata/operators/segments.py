@@ -180,7 +180,7 @@ class SegmentedIndex:
             norms = self._kept(retrieval.norms(entries, retrieval.part(added, "shards"), state.total, dead), names[1])
             self._commit(state.version, state.next_id, state.segments, state.total, ready=True)
         living, entries = self._living(state.segments, state.segments), self._shards(state.segments, "entries")
-        return TfidfIndex(living, entries, norms, retrieval.vocabulary(added), self.stop_words)
+        return TfidfIndex(living, entries, norms, added, self.stop_words)
 
     def vacuum(self) -> None:
         """Drop the tables of merged segments and of older versions; no search may still read them."""
